@@ -1,0 +1,5 @@
+"""No streaming operators: the workload this engine covers is batch only.
+
+Sources, casts and filters are plain DataFrame expressions, so they also accept
+a streaming frame, but nothing here keeps state.
+"""
