@@ -45,7 +45,7 @@ def publish(
         seen = Observation(f"{name}-{run}")
         df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
         n_rows = seen.get["n"]
-        back = spark.read.parquet(path) if df.columns else df
+        back = spark.read.parquet(path)
         if [(f.name, f.dataType) for f in back.schema] != [(f.name, f.dataType) for f in df.schema]:
             raise PublishFailed(f"{name}: files have another schema than the table")
         if back.count() != n_rows:
