@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beforeafter.schema import EVENT_KEYS
-from beforeafter.staging import broadcast_if_small
+from beforeafter.staging import stage_side
 
 # Below this share of the sum of squares a variance is rounding noise.
 FLAT = 1e-12
@@ -43,7 +43,7 @@ def _standardised(features: DataFrame) -> DataFrame:
     )
     return (
         features.dropna(subset=["avg_value"])
-        .join(broadcast_if_small(stats), "indicator")
+        .join(stage_side(stats, "spreads"), "indicator")
         .select(*EVENT_KEYS, "indicator", ((F.col("avg_value") - F.col("m")) / F.col("s")).alias("z"))
     )
 
@@ -100,7 +100,7 @@ def correlation_pairs(
     """Pearson correlation of every indicator pair ``a < b`` on the rows that have both.
 
     Pairs sharing fewer than two rows, or constant on the rows they share, have
-    none and are left out. ``features`` is read three times; stage it first.
+    none and are left out. ``features`` is read three times: stage what is behind it.
     """
     z = _standardised(features)
     # Only block counts hang on these estimates, no result does.

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beforeafter.staging import broadcast_if_small
+from beforeafter.staging import stage_side
 
 # Names of indicators that the second source does not describe itself.
 KNOWN_NAMES = {
@@ -38,7 +38,7 @@ def dim_indicator(codes: DataFrame, ladder: Sequence[tuple[DataFrame, str]]) ->
         rung = labels.groupBy(F.col("code").alias("indicator")).agg(
             F.max(F.coalesce("label", "code")).alias(f"label_{i}")
         )
-        out = out.join(broadcast_if_small(rung), "indicator", "left")
+        out = out.join(stage_side(rung, "labels"), "indicator", "left")
         name = F.coalesce(name, F.col(f"label_{i}"))
         source = F.coalesce(source, F.when(F.col(f"label_{i}").isNotNull(), F.lit(tag)))
     return out.select(

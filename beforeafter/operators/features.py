@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from beforeafter.functions import quoted
 from beforeafter.schema import EVENT_KEYS
-from beforeafter.staging import broadcast_if_small
+from beforeafter.staging import stage_side
 
 
 def missing_counts(features: DataFrame) -> DataFrame:
@@ -26,15 +26,16 @@ def dense_enough(features: DataFrame, max_missing: float = 0.5) -> DataFrame:
 
 
 def keep_indicators(df: DataFrame, indicators: DataFrame) -> DataFrame:
-    return df.join(broadcast_if_small(indicators), "indicator", "left_semi")
+    """Rows of the listed indicators. The caller hints the list if it is small."""
+    return df.join(indicators, "indicator", "left_semi")
 
 
 def drop_indicators(df: DataFrame, indicators: DataFrame) -> DataFrame:
-    return df.join(broadcast_if_small(indicators), "indicator", "left_anti")
+    return df.join(indicators, "indicator", "left_anti")
 
 
 def null_filter(features: DataFrame, max_missing: float = 0.5) -> DataFrame:
-    return keep_indicators(features, dense_enough(features, max_missing))
+    return keep_indicators(features, stage_side(dense_enough(features, max_missing), "dense-enough"))
 
 
 def common_indicators(a: DataFrame, b: DataFrame) -> DataFrame:

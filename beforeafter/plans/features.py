@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from beforeafter.operators.correlation import correlated_later, correlation_pairs
 from beforeafter.operators.features import drop_indicators, null_filter
 from beforeafter.operators.windows import pre_event_means
-from beforeafter.staging import stage
+from beforeafter.staging import stage, stage_side
 
 
 def dense_features(panel: DataFrame, events: DataFrame, before: int = 6, max_missing: float = 0.5) -> DataFrame:
@@ -24,5 +24,5 @@ def training_features(
     threshold: float = 0.9,
 ) -> DataFrame:
     """Pre-event means after the null filter and the correlation filter, in long form."""
-    dense = stage(dense_features(panel, events, before, max_missing), "dense-features")
-    return drop_indicators(dense, stage(correlated_later(correlation_pairs(dense), threshold), "correlated"))
+    dense = dense_features(panel, events, before, max_missing)
+    return drop_indicators(dense, stage_side(correlated_later(correlation_pairs(dense), threshold), "correlated"))

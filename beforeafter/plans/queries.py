@@ -211,7 +211,7 @@ def feature_matrix_wide(spark: SparkSession, d: str) -> DataFrame:
 
 def correlation_pairs(spark: SparkSession, d: str) -> DataFrame:
     kept = dense_features(_flag_panel(spark, d), nation_events(spark, d), FEATURE_MONTHS)
-    return _rounded(correlation.correlation_pairs(stage(kept, "dense-features")), "r")
+    return _rounded(correlation.correlation_pairs(kept), "r")
 
 
 def correlation_kept(spark: SparkSession, d: str) -> DataFrame:
@@ -274,7 +274,8 @@ def one_class_score_features(spark: SparkSession, d: str) -> DataFrame:
     reference = snapshots.snapshot_at_event(panel, signup_events(spark, d))
     candidates = panel.select(F.concat_ws("@", "entity", "time").alias("entity"), "indicator", "value")
     ready = prepare(stage(reference, "reference"), stage(candidates, "candidates"))
-    boundary = fit_boundary(ready.reference_rows, exact_rows=0, n_features=512, max_steps=8)
+    rows = stage(ready.reference_rows, "reference-rows")
+    boundary = fit_boundary(rows, exact_rows=0, n_features=512, max_steps=8)
     return add_label(ready.candidate_rows, boundary).drop("z")
 
 

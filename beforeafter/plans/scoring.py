@@ -13,12 +13,12 @@ from beforeafter.operators.one_class import Boundary, add_label, fit_boundary
 from beforeafter.operators.scaling import Scaling, reference_stats, scaled_rows
 from beforeafter.operators.score import LEVELS, WEIGHTS, add_readiness, completeness, score_rows
 from beforeafter.schema import EVENT_KEYS
-from beforeafter.staging import stage
+from beforeafter.staging import stage, stage_side
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """Both sides as scaled rows, and what was learnt on the reference side."""
+    """Both sides as scaled rows, not computed yet, and what was learnt on the reference side."""
 
     indicators: DataFrame
     scaling: Scaling
@@ -28,13 +28,13 @@ class Prepared:
 
 def prepare(reference: DataFrame, candidates: DataFrame) -> Prepared:
     """Long reference (``entity, event_at``) and candidate (``entity``) values → scaled rows."""
-    indicators = stage(common_indicators(reference, candidates), "common")
+    indicators = stage_side(common_indicators(reference, candidates), "common")
     scaling = Scaling.of(reference_stats(reference, indicators))
     return Prepared(
         indicators,
         scaling,
-        stage(scaled_rows(reference, scaling, EVENT_KEYS), "reference-rows"),
-        stage(scaled_rows(candidates, scaling, ["entity"]), "candidate-rows"),
+        scaled_rows(reference, scaling, EVENT_KEYS),
+        scaled_rows(candidates, scaling, ["entity"]),
     )
 
 
@@ -61,9 +61,11 @@ def score_candidates(
     """
     reference, candidates = stage(reference, "reference"), stage(candidates, "candidates")
     ready = prepare(reference, candidates)
-    axes = fit_axes(ready.reference_rows, len(weights))
-    boundary = fit_boundary(ready.reference_rows, nu, **boundary_options)
-    ref_axes, cand_axes = project(ready.reference_rows, axes), project(ready.candidate_rows, axes)
+    ref_rows = stage(ready.reference_rows, "reference-rows")
+    cand_rows = stage(ready.candidate_rows, "candidate-rows")
+    axes = fit_axes(ref_rows, len(weights))
+    boundary = fit_boundary(ref_rows, nu, **boundary_options)
+    ref_axes, cand_axes = project(ref_rows, axes), project(cand_rows, axes)
     if anchors:
         flat = cand_axes.select("entity", "axis_1")
         ref_axes, cand_axes = (anchored(f, flat, *anchors) for f in (ref_axes, cand_axes))

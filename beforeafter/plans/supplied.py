@@ -11,8 +11,25 @@ from beforeafter.sources import tag_source
 from beforeafter.sources.panel import events_from
 
 
+# Schemas of the supplied tables that the queries read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cents(amount: Column) -> Column:
@@ -52,10 +69,11 @@ def items_panel(spark: SparkSession, sf_dir: str, by_flag: bool = False) -> Data
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     buyers = _buyers(spark, sf_dir)
+    # Orders meet their buyers first, so the items shuffle once for both.
+    placed = orders.join(buyers, orders.o_custkey == buyers.c_custkey).select("o_orderkey", "n_name")
     code = ["B", F.col("p_brand"), F.col("l_returnflag")] if by_flag else ["B", F.col("p_brand")]
     rows = (
-        items.join(orders, items.l_orderkey == orders.o_orderkey)
-        .join(buyers, F.col("o_custkey") == buyers.c_custkey)
+        items.join(placed, items.l_orderkey == placed.o_orderkey)
         .join(parts, F.col("l_partkey") == parts.p_partkey)
         .groupBy(
             F.col("n_name").alias("entity"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,18 +42,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Row bytes of ``df``, counted by one aggregate pass (one row per task)."""
-    fixed = 16
-    texts = F.lit(0).cast("long")
+def stage_side(df: DataFrame, label: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Stage a join side that is derived from much data; its size is measured
+    while it is written, and a small one comes back hinted for broadcast."""
+    seen = Observation()
+    staged = stage(df.observe(seen, _row_bytes(df).alias("bytes")), label)
+    return F.broadcast(staged) if (seen.get["bytes"] or 0) <= limit else staged
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Sum of the row bytes of ``df``: 8 per number, 16 and its length per text."""
+    size = F.lit(16).cast("long")
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            texts = texts + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-            fixed += 16
+            size = size + F.lit(16) + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
         else:
-            fixed += 8
-    size = df.select(texts.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
-    return size["n"] * fixed + (size["b"] or 0)
+            size = size + F.lit(8)
+    return F.sum(size)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Row bytes of ``df``, counted by one aggregate pass (one row per task)."""
+    return df.agg(_row_bytes(df)).first()[0] or 0
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -61,6 +71,7 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 
     Above the limit the frame comes back unhinted and Spark shuffles both sides,
     with adaptive skew splitting for hot keys. Nested columns are not measured,
-    so frames that carry them must be bounded by other means.
+    so frames that carry them must be bounded by other means. The pass runs the
+    work behind ``df``: for sides derived from much data take ``stage_side``.
     """
     return F.broadcast(df) if measured_bytes(df) <= limit else df
