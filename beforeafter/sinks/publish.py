@@ -12,15 +12,19 @@ from pyspark.sql import functions as F
 _COMMIT = "run string, committed_at timestamp, name string, path string, n_rows long, columns string"
 
 
+def in_file_order(df: DataFrame, keys: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """Ranges of keys across files, sorted inside each: no global sort, no single task.
+
+    Range bounds come from a sample of all keys, so list enough of them to split a hot one.
+    """
+    return df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*within, *keys)
+
+
 def write_sorted(
     df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
-    """Parquet in key order: ranges across files, sorted inside each, no single-task sort.
-
-    Ranges are cut from a sample of all keys, so list enough of them to split a hot one.
-    """
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*partition_by, *keys)
-    ranged.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """Parquet in key order, in folders by ``partition_by``."""
+    in_file_order(df, keys, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 class PublishFailed(RuntimeError):
