@@ -22,7 +22,7 @@ class Axes:
 
 
 def fit_axes(reference_rows: DataFrame, k: int = 2) -> Axes:
-    """Axes of the ``z`` rows. An axis has no natural direction, so each is turned
+    """Axes of the ``z`` rows, which are read several times. An axis has no natural direction, so each is turned
     until its largest loading in size is positive."""
     vectors = reference_rows.select(array_to_vector("z").alias("features"))
     model = PCA(k=k, inputCol="features", outputCol="axes").fit(vectors)

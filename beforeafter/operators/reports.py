@@ -13,7 +13,8 @@ from beforeafter.staging import broadcast_if_small
 
 def score_by_region(scores: DataFrame, entities: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
     """Scores with name, region and income group, for all or the given regions."""
-    joined = scores.join(broadcast_if_small(entities), "entity", "left")
+    # One row per entity on both sides, so the choice of join is Spark's.
+    joined = scores.join(entities, "entity", "left")
     return joined.filter(F.col("region").isin(list(regions))) if regions is not None else joined
 
 

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from beforeafter.operators.windows import rows_at
 from beforeafter.schema import EVENT_KEYS
 from beforeafter.sources.panel import resolve_duplicates
-from beforeafter.staging import broadcast_if_small
+from beforeafter.staging import stage_side
 
 
 def snapshot_latest(
@@ -24,8 +25,8 @@ def snapshot_latest(
     own, a number a fixed time. ``duplicates`` settles a code that two sources share.
     """
     if latest == "per_source":
-        last = panel.groupBy("source").agg(F.max("time").alias("time"))
-        at = panel.join(F.broadcast(last) if _few_sources(last) else last, ["source", "time"], "left_semi")
+        last = stage_side(panel.groupBy("source").agg(F.max("time").alias("time")), "last-times")
+        at = panel.join(last, ["source", "time"], "left_semi")
     elif latest == "global":
         at = panel.filter(F.col("time") == panel.agg(F.max("time")).scalar())
     else:
@@ -34,10 +35,6 @@ def snapshot_latest(
     return resolve_duplicates(at, duplicates, keys, order).select(*keys, "value")
 
 
-def _few_sources(sources: DataFrame, limit: int = 10_000) -> bool:
-    return sources.count() <= limit
-
-
 def snapshot_at_event(
     panel: DataFrame,
     events: DataFrame,
@@ -47,6 +44,6 @@ def snapshot_at_event(
     """``entity, event_at, indicator, value`` at each event's own time; an entity
     with two events has two snapshots."""
     own = events.select(*EVENT_KEYS).dropDuplicates(list(EVENT_KEYS)).withColumn("time", F.col("event_at"))
-    at = panel.join(broadcast_if_small(own), ["entity", "time"])
+    at = rows_at(panel, own)
     keys = [*EVENT_KEYS, "indicator"]
     return resolve_duplicates(at, duplicates, keys, order).select(*keys, "value")

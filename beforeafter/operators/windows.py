@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from beforeafter.functions import percent_change
 from beforeafter.schema import EVENT_KEYS, FACT_COLUMNS, SERIES_KEYS
-from beforeafter.staging import broadcast_if_small
+from beforeafter.staging import BROADCAST_BYTES, row_bytes, stage, stage_side
 
 
 def event_skeleton(events: DataFrame, first: int, last: int) -> DataFrame:
@@ -22,6 +22,22 @@ def event_skeleton(events: DataFrame, first: int, last: int) -> DataFrame:
     )
 
 
+def rows_at(panel: DataFrame, moments: DataFrame) -> DataFrame:
+    """Panel rows at the listed (entity, time) moments, with the moments' columns.
+
+    One pass over the moments finds their size, which decides on a broadcast, and
+    their time span, which prunes the panel scan. Above the broadcast limit both
+    sides shuffle on (entity, time): a hot entity is spread over its times, and
+    Spark splits what is still hot.
+    """
+    found = moments.agg(
+        row_bytes(moments).alias("bytes"), F.min("time").alias("first"), F.max("time").alias("last")
+    ).first()
+    spanned = panel.filter(F.col("time").between(F.lit(found["first"]), F.lit(found["last"])))
+    side = F.broadcast(moments) if (found["bytes"] or 0) <= BROADCAST_BYTES else moments
+    return spanned.join(side, ["entity", "time"])
+
+
 def event_window(
     panel: DataFrame,
     events: DataFrame,
@@ -31,19 +47,18 @@ def event_window(
 ) -> DataFrame:
     """Panel rows at each offset of each event.
 
-    The join is on (entity, time), not on entity with a band filter after it, so a
-    hot entity is spread over its times when the skeleton is too large to
-    broadcast. ``inner`` keeps observed times only; ``left`` fills every series
-    seen in a window up to all its offsets, with NULL values.
+    ``inner`` keeps observed times only; ``left`` fills every series seen in a
+    window up to all its offsets, with NULL values.
     """
     skeleton = event_skeleton(events, first, last)
-    observed = panel.join(broadcast_if_small(skeleton), ["entity", "time"]).select(
+    observed = rows_at(panel, skeleton).select(
         *EVENT_KEYS, "offset", "time", "indicator", "source", "value"
     )
     if how == "inner":
         return observed
     if how != "left":
         raise ValueError(f"how must be inner or left, not {how!r}")
+    observed = stage(observed, "window")  # read twice below
     unobserved = (
         observed.groupBy(*SERIES_KEYS)
         .agg(F.collect_set("offset").alias("seen"))  # at most last - first + 1 offsets
@@ -66,14 +81,16 @@ def add_baseline(
     ``unique_times=True`` says that a series has one row per time, as after
     ``resolve_duplicates``: a series is then no longer than the window, and one
     shuffle with a window average does. Otherwise a series may hold any number of
-    rows, so the mean is aggregated before the shuffle and joined back, where
-    Spark splits hot partitions. ``keys`` without ``source`` averages over sources.
+    rows, so the mean is aggregated before the shuffle and joined back, by
+    broadcast if the means are few, else with hot partitions split by Spark.
+    ``fact`` is then read twice, so stage it. ``keys`` without ``source`` averages
+    over sources.
     """
     base = F.when(F.col("offset").isin(list(offsets)), F.col("value"))
     if unique_times:
         return fact.withColumn("baseline_value", F.avg(base).over(Window.partitionBy(*keys)))
     means = fact.filter(F.col("offset").isin(list(offsets))).groupBy(*keys).agg(F.avg("value").alias("baseline_value"))
-    return fact.join(means, list(keys), "left")
+    return fact.join(stage_side(means, "baselines"), list(keys), "left")
 
 
 def add_change(fact: DataFrame) -> DataFrame:
@@ -93,6 +110,8 @@ def event_window_change(
 ) -> DataFrame:
     """The event-window fact: value, baseline and percent change per event, series and offset."""
     fact = event_window(panel, events, first, last, how)
+    if not unique_times:
+        fact = stage(fact, "window")
     return add_change(add_baseline(fact, baseline_offsets, baseline_keys, unique_times))
 
 
@@ -105,6 +124,7 @@ def sample_series(
     """One event's series for one indicator in time order.
 
     What is not asked for is the smallest key, so the sample is always the same.
+    ``fact`` is read twice.
     """
     if entity is not None:
         fact = fact.filter(F.col("entity") == entity)
@@ -122,7 +142,6 @@ def pre_event_means(panel: DataFrame, events: DataFrame, before: int = 6) -> Dat
     Sources that share an indicator code are averaged together.
     """
     skeleton = event_skeleton(events, -before, -1).select(*EVENT_KEYS, "time")
-    windowed = panel.join(broadcast_if_small(skeleton), ["entity", "time"])
-    return windowed.groupBy(*EVENT_KEYS, "indicator").agg(
+    return rows_at(panel, skeleton).groupBy(*EVENT_KEYS, "indicator").agg(
         F.avg("value").alias("avg_value"), F.count("value").alias("n_values")
     )

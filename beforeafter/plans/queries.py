@@ -64,8 +64,8 @@ def _panel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def panel_union(spark: SparkSession, d: str) -> DataFrame:
-    orders = orders_panel(spark, d)
-    return _rounded(resolve_duplicates(unify(orders, items_panel(spark, d), orders), "any"), "value")
+    twice = orders_panel(spark, d).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return _rounded(resolve_duplicates(unify(twice, items_panel(spark, d)), "any"), "value")
 
 
 def panel_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -74,7 +74,7 @@ def panel_profile(spark: SparkSession, d: str) -> DataFrame:
 
 def unpivot_wide_months(spark: SparkSession, d: str) -> DataFrame:
     wide = (
-        orders_panel(spark, d)
+        stage(orders_panel(spark, d), "orders")
         .groupBy(F.col("entity").alias("economy"), F.col("indicator").alias("series"))
         .pivot("time")
         .agg(F.first("value"))
@@ -83,14 +83,10 @@ def unpivot_wide_months(spark: SparkSession, d: str) -> DataFrame:
 
 
 def json_props_flatten(spark: SparkSession, d: str) -> DataFrame:
+    """One nested document per activity row, with the day as time and ``k`` as value."""
+    day = time_index(F.col("ts"), "day")
     documents = table(spark, d, "events").select(
-        F.format_string(
-            '{"values":{"%s":{"%s":{"%s":%s}, "none": 7}}}',
-            "event_type",
-            "user_id",
-            time_index(F.col("ts"), "day"),
-            F.get_json_object("props", "$.k"),
-        ).alias("document")
+        _text('{"values":{"', "event_type", '":{"', "user_id", '":{"', day, '":', F.get_json_object("props", "$.k"), '}, "none": 7}}}')
     )
     flat = nested_observations(documents)
     return flat.groupBy("entity", "indicator", "time").agg(
@@ -99,17 +95,20 @@ def json_props_flatten(spark: SparkSession, d: str) -> DataFrame:
 
 
 def json_catalogue_labels(spark: SparkSession, d: str) -> DataFrame:
+    """One catalogue per activity row; odd users come without a label."""
+    field = F.when(F.col("user_id") % 2 == 0, _text('"label":"kind ', "event_type", '"')).otherwise('"unit":"t"')
     documents = table(spark, d, "events").select(
-        F.when(
-            F.col("user_id") % 2 == 0,
-            F.format_string('{"indicators":{"%s/%s":{"label":"kind %s"}}}', "event_type", "user_id", "event_type"),
-        )
-        .otherwise(F.format_string('{"indicators":{"%s/%s":{"unit":"%s"}}}', "event_type", "user_id", "event_type"))
-        .alias("document")
+        _text('{"indicators":{"', "event_type", "/", "user_id", '":{', field, "}}}")
     )
     return catalogue_labels(documents, "indicators").groupBy("code", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _text(*parts: str | Column) -> Column:
+    """Texts and columns in a row; a plain name stands for its column."""
+    names = ("event_type", "user_id")
+    return F.concat(*[F.lit(p) if isinstance(p, str) and p not in names else p for p in parts]).alias("document")
+
+
 def iso_like_filter(spark: SparkSession, d: str) -> DataFrame:
     tail = F.when(F.col("n_chars") % 2 == 0, F.upper(F.substring("source", 1, 1))).otherwise(F.col("source"))
     codes = table(spark, d, "documents").select(F.concat(F.upper("lang"), tail).alias("code"))
@@ -142,8 +141,13 @@ def event_window(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(windows.event_window(_panel(spark, d), nation_events(spark, d)), "value")
 
 
+def _signups(spark: SparkSession, d: str) -> DataFrame:
+    """Derived by a pass over all activity, so done once."""
+    return stage(signup_events(spark, d), "signups")
+
+
 def event_window_users(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(windows.event_window(activity_panel(spark, d), signup_events(spark, d)), "value")
+    return _rounded(windows.event_window(activity_panel(spark, d), _signups(spark, d)), "value")
 
 
 def event_window_dense(spark: SparkSession, d: str) -> DataFrame:
@@ -161,7 +165,7 @@ def event_window_change(spark: SparkSession, d: str) -> DataFrame:
 
 def event_window_change_raw(spark: SparkSession, d: str) -> DataFrame:
     """Any number of rows per user, type and day: the baseline is joined back."""
-    changed = windows.event_window_change(raw_activity(spark, d), signup_events(spark, d))
+    changed = windows.event_window_change(raw_activity(spark, d), _signups(spark, d))
     return _rounded(changed, "value", "baseline_value", "pct_change")
 
 
@@ -178,7 +182,7 @@ def event_window_change_mixed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_window_sample(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(windows.sample_series(_change(spark, d)), "value", "baseline_value", "pct_change")
+    return _rounded(windows.sample_series(stage(_change(spark, d), "fact")), "value", "baseline_value", "pct_change")
 
 
 # --- features ----------------------------------------------------------------
@@ -258,20 +262,21 @@ def signed_log_scaled(spark: SparkSession, d: str) -> DataFrame:
 
 def pca_axes(spark: SparkSession, d: str) -> DataFrame:
     ready = prepare(*_sides(spark, d))
-    axes = fit_axes(ready.reference_rows)
+    axes = fit_axes(stage(ready.reference_rows, "reference-rows"))
     cand = project(ready.candidate_rows, axes)
     return anchored(cand, cand.select("entity", "axis_1"), "NATION_1", "NATION_2").drop("z")
 
 
 def one_class_score(spark: SparkSession, d: str) -> DataFrame:
     ready = prepare(*_sides(spark, d))
-    return add_label(ready.candidate_rows, fit_boundary(ready.reference_rows)).drop("z")
+    boundary = fit_boundary(stage(ready.reference_rows, "reference-rows"))
+    return add_label(ready.candidate_rows, boundary).drop("z")
 
 
 def one_class_score_features(spark: SparkSession, d: str) -> DataFrame:
     """The path for large reference sets: user and day rows against signup days."""
     panel = stage(activity_panel(spark, d), "activity")
-    reference = snapshots.snapshot_at_event(panel, signup_events(spark, d))
+    reference = snapshots.snapshot_at_event(panel, _signups(spark, d))
     candidates = panel.select(F.concat_ws("@", "entity", "time").alias("entity"), "indicator", "value")
     ready = prepare(stage(reference, "reference"), stage(candidates, "candidates"))
     rows = stage(ready.reference_rows, "reference-rows")

@@ -36,8 +36,8 @@ def split_rejects(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataF
     value was there but did not cast.
     """
     matches = _matches(df, schema)
-    failed = []
-    cast = []
+    bad = F.lit(False)
+    failed, cast = [], []
     for field in schema.fields:
         name = matches[field.name]
         if name is None:
@@ -45,10 +45,11 @@ def split_rejects(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataF
             continue
         value = quoted(name).try_cast(field.dataType)
         cast.append(value.alias(field.name))
-        failed.append(F.when(quoted(name).isNotNull() & value.isNull(), F.lit(field.name)))
-    bad = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    good = df.filter(F.size(bad) == 0).select(*cast)
-    return good, df.withColumn("rejected", bad).filter(F.size("rejected") > 0)
+        fails = quoted(name).isNotNull() & value.isNull()
+        bad = bad | fails
+        failed.append(F.when(fails, F.lit(field.name)))
+    names = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    return df.filter(~bad).select(*cast), df.filter(bad).withColumn("rejected", names)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> Conformed:

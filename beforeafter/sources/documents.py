@@ -38,7 +38,7 @@ def nested_observations(documents: DataFrame, document: str = "document", root:
         "entity",
         "indicator",
         F.col("t").try_cast("int").alias("time"),
-        clean_number(F.try_variant_get("v", "$", "string")).alias("value"),
+        clean_number(F.try_variant_get("v", "$", "double")).alias("value"),
     ).dropna(subset=["time", "value"])
 
 

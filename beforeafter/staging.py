@@ -34,10 +34,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     For frames that several later steps read: the work behind them is done once,
     lineage ends at files that outlive an executor, and later filters and column
-    lists reach the scan.
+    lists reach the scan. Files lie in one folder per application and stay there:
+    lazy results may still read them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/beforeafter/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/beforeafter/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -46,11 +47,11 @@ def stage_side(df: DataFrame, label: str, limit: int = BROADCAST_BYTES) -> DataF
     """Stage a join side that is derived from much data; its size is measured
     while it is written, and a small one comes back hinted for broadcast."""
     seen = Observation()
-    staged = stage(df.observe(seen, _row_bytes(df).alias("bytes")), label)
+    staged = stage(df.observe(seen, row_bytes(df).alias("bytes")), label)
     return F.broadcast(staged) if (seen.get["bytes"] or 0) <= limit else staged
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
     """Sum of the row bytes of ``df``: 8 per number, 16 and its length per text."""
     size = F.lit(16).cast("long")
     for field in df.schema.fields:
@@ -63,7 +64,7 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def measured_bytes(df: DataFrame) -> int:
     """Row bytes of ``df``, counted by one aggregate pass (one row per task)."""
-    return df.agg(_row_bytes(df)).first()[0] or 0
+    return df.agg(row_bytes(df)).first()[0] or 0
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -122,7 +122,8 @@ def test_large_event_side_is_not_broadcast_and_hot_series_is_split(spark, monkey
     """A third of all rows are copies of one key: the joins split them, no window gathers them."""
     import beforeafter.operators.windows as w
 
-    monkeypatch.setattr(w, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(w, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(w, "stage_side", w.stage)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
