@@ -5,41 +5,51 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PCA, PCAModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import pandas as pd
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class Axes:
-    model: PCAModel
-    signs: tuple[float, ...]
+    """One column of loadings per axis, largest variance first."""
 
-    @property
-    def loadings(self) -> np.ndarray:
-        return self.model.pc.toArray() * np.array(self.signs)
+    loadings: np.ndarray
 
 
 def fit_axes(reference_rows: DataFrame, k: int = 2) -> Axes:
-    """Axes of the ``z`` rows, which are read several times. An axis has no natural direction, so each is turned
-    until its largest loading in size is positive."""
-    vectors = reference_rows.select(array_to_vector("z").alias("features"))
-    model = PCA(k=k, inputCol="features", outputCol="axes").fit(vectors)
-    loadings = model.pc.toArray()
+    """Axes of the ``z`` rows, which are read several times.
+
+    Spark adds up the covariances; only that matrix, as wide as a row, reaches the
+    driver, where its eigenvectors are taken. ``ml.feature.PCA`` brings the same
+    matrix there but decomposes it much more slowly. An axis has no natural
+    direction, so each is turned until its largest loading in size is positive.
+    """
+    vectors = reference_rows.select(array_to_vector("z").alias("z"))
+    # An unvarying value has no correlation; its covariances are zero.
+    correlation = np.nan_to_num(Correlation.corr(vectors, "z").head()[0].toArray())
+    spread = vectors.select(Summarizer.std(F.col("z"))).first()[0].toArray()
+    _, eigenvectors = np.linalg.eigh(correlation * np.outer(spread, spread))
+    if k > len(spread):
+        raise ValueError(f"{k} axes need as many indicators, there are {len(spread)}")
+    loadings = eigenvectors[:, ::-1][:, :k]
     lead = loadings[np.abs(loadings).argmax(axis=0), range(k)]
-    return Axes(model, tuple(-1.0 if v < 0 else 1.0 for v in lead))
+    return Axes(loadings * np.where(lead < 0, -1.0, 1.0))
 
 
 def project(rows: DataFrame, axes: Axes) -> DataFrame:
     """``axis_1 .. axis_k`` next to the given columns. Reference rows have mean 0
-    after scaling, which the model's transform relies on."""
-    columns = rows.columns
-    projected = axes.model.transform(rows.withColumn("features", array_to_vector("z")))
-    values = vector_to_array("axes")
-    return projected.select(
-        *columns, *[(values[i] * sign).alias(f"axis_{i + 1}") for i, sign in enumerate(axes.signs)]
-    )
+    after scaling, so nothing is subtracted."""
+    loadings = axes.loadings
+
+    @F.pandas_udf("array<double>")
+    def placed(z: pd.Series) -> pd.Series:
+        return pd.Series(list(np.stack(z.to_list()) @ loadings)) if len(z) else pd.Series(dtype=object)
+
+    at = rows.withColumn("at", placed("z"))
+    return at.select(*rows.columns, *[F.col("at")[i].alias(f"axis_{i + 1}") for i in range(loadings.shape[1])])
 
 
 def anchored(frame: DataFrame, candidates: DataFrame, high: str, low: str) -> DataFrame:

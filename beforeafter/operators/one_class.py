@@ -150,7 +150,7 @@ def _fit_features(
     def quantile(weights: np.ndarray, share: float) -> float:
         @F.pandas_udf("double")
         def score(z: pd.Series) -> pd.Series:
-            return pd.Series(_features(_matrix(z), points, shift) @ weights)
+            return pd.Series(_features(_matrix(z), points, shift) @ weights) if len(z) else pd.Series(dtype=float)
 
         return rows.agg(F.percentile_approx(score("z"), share, 100_000)).first()[0]
 
@@ -175,7 +175,7 @@ def add_label(rows: DataFrame, boundary: Boundary) -> DataFrame:
 
     @F.pandas_udf("double")
     def decision(z: pd.Series) -> pd.Series:
-        return pd.Series(held.value.values(_matrix(z)))
+        return pd.Series(held.value.values(_matrix(z))) if len(z) else pd.Series(dtype=float)
 
     return rows.withColumn("decision", decision("z")).withColumn(
         "anomaly_label", F.when(F.col("decision") > 0, F.lit(1)).otherwise(F.lit(-1))

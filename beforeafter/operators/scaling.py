@@ -124,6 +124,6 @@ def scaled_rows(long: DataFrame, scaling: Scaling, keys: Sequence[str]) -> DataF
 
 def scaled_long(rows: DataFrame, scaling: Scaling, keys: Sequence[str]) -> DataFrame:
     """``scaled_rows`` output as one row per key and indicator."""
-    codes = F.array(*[F.lit(c) for c in scaling.indicators]) if scaling.width else F.array().cast("array<string>")
-    pairs = F.arrays_zip(codes.alias("indicator"), F.col("z"))
-    return rows.select(*keys, F.inline(pairs).alias("indicator", "scaled"))
+    names = F.broadcast(scaling.table(rows.sparkSession).select("slot", "indicator"))
+    cells = rows.select(*keys, F.posexplode("z").alias("slot", "scaled"))
+    return cells.join(names, "slot").select(*keys, "indicator", "scaled")

@@ -22,6 +22,34 @@ def test_query_equals_sql(spark, sf_dir, con, name):
     assert compare(plain(got), plain(want)) == ""
 
 
+@pytest.fixture
+def no_broadcast(spark, monkeypatch):
+    """As if every side were too large: limits at zero here and in Spark."""
+    import beforeafter.operators.windows as windows
+    import beforeafter.staging as staging
+
+    monkeypatch.setattr(windows, "BROADCAST_BYTES", -1)
+    for f in (staging.broadcast_if_small, staging.stage_side):
+        monkeypatch.setattr(f, "__defaults__", (-1,))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    yield
+    for n, v in before.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["event_window_change_raw", "pre_event_mean", "correlation_kept", "snapshot_latest_per_source", "dim_indicator", "entity_filter_fallback"],
+)
+def test_query_equals_sql_without_broadcasts(spark, sf_dir, con, no_broadcast, name):
+    df = queries()[name](spark, sf_dir)
+    assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    assert compare(plain(df.toPandas()), plain(con.execute(oracle_sql()[name]).df())) == ""
+
+
 def test_entry(spark):
     df = entry(spark)
     assert df.columns[0] == "entity" and df.count() > 0
