@@ -242,6 +242,10 @@ SELECT order_id, lines, status,
        concat_ws(',', CASE WHEN TRY_CAST(price AS DOUBLE) IS NULL THEN 'price' END,
                  CASE WHEN TRY_CAST(lines AS INTEGER) IS NULL THEN 'lines' END) AS rejected
 FROM landed WHERE TRY_CAST(price AS DOUBLE) IS NULL OR TRY_CAST(lines AS INTEGER) IS NULL""",
+    "load_report": f"""WITH {_LANDED}, good AS (
+  SELECT count(*) AS n FROM landed WHERE TRY_CAST(price AS DOUBLE) IS NOT NULL AND TRY_CAST(lines AS INTEGER) IS NOT NULL)
+SELECT n AS n_loaded, (SELECT count(*) FROM landed) - n AS n_rejected, 'note' AS missing, 'status' AS extra, n AS n_read
+FROM good""",
     "input_report_orders": """
 SELECT 'orders' AS input, 'O_ORDERKEY' AS name, true AS present, true AS type_ok, count(*) AS n_rows, count(o_orderkey) AS n_values FROM orders
 UNION ALL SELECT 'orders', 'o_totalprice', true, true, count(*), count(o_totalprice) FROM orders

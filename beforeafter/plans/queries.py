@@ -12,7 +12,7 @@ from beforeafter.operators.axes import anchored, fit_axes, project
 from beforeafter.operators.one_class import add_label, fit_boundary
 from beforeafter.operators.scaling import scaled_long
 from beforeafter.plans.features import dense_features, training_features
-from beforeafter.plans.scoring import prepare, score_candidates
+from beforeafter.plans.scoring import Prepared, prepare, score_candidates
 from beforeafter.plans.supplied import (
     activity_panel,
     cents,
@@ -24,7 +24,7 @@ from beforeafter.plans.supplied import (
     table,
     total,
 )
-from beforeafter.sinks import conform, publish
+from beforeafter.sinks import conform, load, publish
 from beforeafter.sources import (
     between_times,
     catalogue_labels,
@@ -243,7 +243,11 @@ def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Reference snapshots at the events and candidate snapshots at the end of each source."""
     panel = stage(_panel(spark, d), "panel")
     reference = snapshots.snapshot_at_event(panel, nation_events(spark, d))
-    return stage(reference, "reference"), stage(snapshots.snapshot_latest(panel, "per_source"), "candidates")
+    return reference, snapshots.snapshot_latest(panel, "per_source")
+
+
+def _prepared(reference: DataFrame, candidates: DataFrame) -> Prepared:
+    return prepare(stage(reference, "reference"), stage(candidates, "candidates"))
 
 
 def common_indicators(spark: SparkSession, d: str) -> DataFrame:
@@ -251,7 +255,7 @@ def common_indicators(spark: SparkSession, d: str) -> DataFrame:
 
 
 def signed_log_scaled(spark: SparkSession, d: str) -> DataFrame:
-    ready = prepare(*_sides(spark, d))
+    ready = _prepared(*_sides(spark, d))
     keys = ["entity", "event_at"]
     candidates = ready.candidate_rows.select("entity", F.lit(None).cast("int").alias("event_at"), "z")
     both = scaled_long(ready.reference_rows.select(*keys, "z"), ready.scaling, keys).unionByName(
@@ -261,14 +265,14 @@ def signed_log_scaled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pca_axes(spark: SparkSession, d: str) -> DataFrame:
-    ready = prepare(*_sides(spark, d))
+    ready = _prepared(*_sides(spark, d))
     axes = fit_axes(stage(ready.reference_rows, "reference-rows"))
     cand = project(ready.candidate_rows, axes)
     return anchored(cand, cand.select("entity", "axis_1"), "NATION_1", "NATION_2").drop("z")
 
 
 def one_class_score(spark: SparkSession, d: str) -> DataFrame:
-    ready = prepare(*_sides(spark, d))
+    ready = _prepared(*_sides(spark, d))
     boundary = fit_boundary(stage(ready.reference_rows, "reference-rows"))
     return add_label(ready.candidate_rows, boundary).drop("z")
 
@@ -278,7 +282,7 @@ def one_class_score_features(spark: SparkSession, d: str) -> DataFrame:
     panel = stage(activity_panel(spark, d), "activity")
     reference = snapshots.snapshot_at_event(panel, _signups(spark, d))
     candidates = panel.select(F.concat_ws("@", "entity", "time").alias("entity"), "indicator", "value")
-    ready = prepare(stage(reference, "reference"), stage(candidates, "candidates"))
+    ready = _prepared(reference, candidates)
     rows = stage(ready.reference_rows, "reference-rows")
     boundary = fit_boundary(rows, exact_rows=0, n_features=512, max_steps=8)
     return add_label(ready.candidate_rows, boundary).drop("z")
@@ -430,6 +434,19 @@ def rejected_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def load_report(spark: SparkSession, d: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/beforeafter/{spark.sparkContext.applicationId}/loaded-orders"
+    report = load(_landed_orders(spark, d), _ORDER_TARGET, path)
+    back = spark.read.schema(_ORDER_TARGET).parquet(path).agg(F.count(F.lit(1)).alias("n_read"))
+    return report.select(
+        "n_loaded",
+        "n_rejected",
+        F.array_join("missing", ",").alias("missing"),
+        F.array_join("extra", ",").alias("extra"),
+        back.scalar().alias("n_read"),
+    )
+
+
 def infer_schema(spark: SparkSession, d: str) -> DataFrame:
     path = f"{d}/lineitem.parquet"
     found = read_matching(spark, path, glob="*.parquet", regex="lineitem")
@@ -497,6 +514,7 @@ QUERIES = {
         indicator_over_event_time,
         conform_rows,
         rejected_rows,
+        load_report,
         infer_schema,
         input_report_orders,
         publish_manifest,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,3 +63,21 @@ def conform(df: DataFrame, schema: T.StructType) -> Conformed:
         [target for target, name in matches.items() if name is None],
         [c for c in df.columns if c not in used],
     )
+
+
+def load(df: DataFrame, schema: T.StructType, path: str) -> DataFrame:
+    """Replace the typed table at ``path``; rows that do not cast go next to it,
+    under ``path`` and ``_rejected``. Both are counted while they are written.
+
+    Returns one row: ``n_loaded, n_rejected, missing, extra``.
+    """
+    out = conform(df, schema)
+    counts = []
+    for rows, place in ((out.good, path), (out.rejected, f"{path}_rejected")):
+        seen = Observation()
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(place)
+        counts.append(seen.get["n"])
+    return df.sparkSession.createDataFrame(
+        [(*counts, out.missing, out.extra)],
+        "n_loaded long, n_rejected long, missing array<string>, extra array<string>",
+    )

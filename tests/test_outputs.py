@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 from beforeafter.operators.dimensions import KNOWN_NAMES, dim_entity, dim_indicator, known_names
 from beforeafter.operators.reports import over_event_time, score_by_region, top_ranked
-from beforeafter.sinks import conform, publish, published, write_sorted
+from beforeafter.sinks import conform, load, publish, published, write_sorted
 from beforeafter.sinks.publish import PublishFailed, live_run
 from beforeafter.staging import broadcast_if_small, measured_bytes, stage, stage_side
 
@@ -30,6 +30,14 @@ def test_conform_lists_missing_and_extra(spark, rows):
         conform(spark.sql("SELECT 1 AS a, 2 AS b").toDF("x.Y", "X.y"), TARGET)
 
 
+def test_load_replaces_the_table_and_counts(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    first = spark.createDataFrame([("USA", "2000"), ("FRA", "x")], "ISO3 string, year string")
+    assert load(first, TARGET, path).first()[:] == (1, 1, ["score", "note"], [])
+    assert load(first.limit(1), TARGET, path).first()[:2] == (1, 0)
+    assert spark.read.parquet(path).count() == 1 and spark.read.parquet(path + "_rejected").count() == 0
+
+
 def test_lookup_ladder(spark, rows):
     codes = spark.createDataFrame([("both",), ("LUR",), ("none",), ("both",)], "indicator string")
     first = spark.createDataFrame([("both", "World's first")], "code string, label string")
