@@ -120,7 +120,13 @@ def correlation_pairs(
         .withColumn("bj", F.greatest("side", "other"))
         .drop("other")
     )
-    partial = placed.groupBy("rb", "bi", "bj").applyInPandas(_block_moments, _PARTIAL)
+    # Blocks are small for the work they take, and adaptive execution would merge them
+    # by size, so the number of tasks is given: all cores busy, and several blocks of
+    # rows in a task where there are many, as a task adds up its own partial sums.
+    n_groups = n_rb * n_cb * (n_cb + 1) // 2
+    n_tasks = min(n_groups, max(int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_rb // 16))
+    blocks = placed.repartition(n_tasks, "rb", "bi", "bj").groupBy("rb", "bi", "bj")
+    partial = blocks.applyInPandas(_block_moments, _PARTIAL)
     sums = partial.groupBy("a", "b").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
     var_a = F.col("n") * F.col("saa") - F.col("sa") * F.col("sa")
     var_b = F.col("n") * F.col("sbb") - F.col("sb") * F.col("sb")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beforeafter.functions import interpolate, status_label
-from beforeafter.operators.features import keep_indicators
 
 # Axis weights, and the scores of the lowest, mean and highest reference row.
 WEIGHTS = (1.5, 1.0)
@@ -18,17 +17,9 @@ LEVELS = (20.0, 50.0, 95.0)
 def completeness(candidates: DataFrame, indicators: DataFrame) -> DataFrame:
     """``entity, data_completeness``: the share of the listed indicators with a value."""
     total = indicators.agg(F.count(F.lit(1))).scalar()
-    present = (
-        keep_indicators(candidates, indicators)
-        .groupBy("entity")
-        .agg(F.count("value").alias("n"))
-    )
-    return (
-        candidates.select("entity")
-        .distinct()
-        .join(present, "entity", "left")
-        .select("entity", (F.coalesce("n", F.lit(0)) / total).alias("data_completeness"))
-    )
+    listed = candidates.join(indicators.select("indicator", F.lit(True).alias("listed")), "indicator", "left")
+    present = listed.groupBy("entity").agg(F.count_if(F.col("listed") & F.col("value").isNotNull()).alias("n"))
+    return present.select("entity", (F.col("n") / total).alias("data_completeness"))
 
 
 def add_readiness(

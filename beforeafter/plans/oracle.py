@@ -138,11 +138,11 @@ SELECT CAST(user_id AS VARCHAR) AS entity, event_type AS indicator,
 FROM events WHERE TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) IS NOT NULL GROUP BY ALL""",
     "json_catalogue_labels": """
 SELECT event_type || '/' || user_id AS code,
-       CASE WHEN user_id % 2 = 0 THEN 'kind ' || event_type ELSE event_type || '/' || user_id END AS label,
+       CASE WHEN event_type <> 'click' THEN 'kind ' || event_type ELSE event_type || '/' || user_id END AS label,
        count(*) AS n FROM events GROUP BY ALL""",
     "iso_like_filter": """
 SELECT code, count(*) AS n FROM (
-  SELECT upper(lang) || CASE WHEN n_chars % 2 = 0 THEN upper(substr(source, 1, 1)) ELSE source END AS code FROM documents)
+  SELECT upper(lang) || CASE WHEN lang = 'en' THEN upper(substr(source, 1, 1)) ELSE source END AS code FROM documents)
 WHERE regexp_full_match(code, '[A-Z]{3}') GROUP BY code""",
     "entity_filter_fallback": f"""
 SELECT CAST(c_custkey AS VARCHAR) AS id, count(*) AS n, CAST(sum({_cents('o_totalprice')}) AS DOUBLE) / 100.0 AS spent
@@ -151,7 +151,7 @@ WHERE NOT (c_acctbal < 2000) OR c_mktsegment = 'MACHINERY'
    OR (SELECT count(*) FROM customer WHERE NOT (c_acctbal < 2000) OR c_mktsegment = 'MACHINERY') < 50
 GROUP BY c_custkey
 UNION ALL SELECT n_name, 0, 0.0 FROM nation
-WHERE n_nationkey <= 3 OR (SELECT count(*) FROM nation WHERE n_nationkey <= 3) < 50""",
+WHERE n_regionkey <= 0 OR (SELECT count(*) FROM nation WHERE n_regionkey <= 0) < 50""",
     "event_window": f"""WITH {_PANEL}, {_E_NAT}, {_window('panel')}
 SELECT entity, event_at, "offset", time, indicator, source, {r4('value')} AS value FROM win""",
     "event_window_users": f"""WITH {_P_EV}, {_E_USR}, {_window('p_ev')}
@@ -231,8 +231,7 @@ FROM given JOIN entities USING (entity) WHERE region IN ('AFRICA', 'EUROPE', '')
 SELECT entity, readiness_score, CAST(rank() OVER (ORDER BY readiness_score DESC) AS INTEGER) AS rank FROM best""",
     "indicator_over_event_time": f"""WITH {_PANEL}, {_E_NAT}, {_change()}
 SELECT {_CHANGE_COLUMNS}, CASE WHEN indicator = '1-URGENT' THEN 'Orders 1-URGENT' ELSE indicator END AS indicator_name
-FROM change WHERE indicator IN ('1-URGENT', '5-LOW', 'B.Brand#7')
-  AND entity IN (SELECT n_name FROM nation WHERE n_nationkey % 2 = 0)""",
+FROM change WHERE indicator IN ('1-URGENT', '5-LOW', 'B.Brand#7')""",
     "conform_rows": f"""WITH {_LANDED}
 SELECT TRY_CAST(order_id AS BIGINT) AS order_id, TRY_CAST(price AS DOUBLE) AS price, TRY_CAST(lines AS INTEGER) AS lines,
        CAST(NULL AS VARCHAR) AS note

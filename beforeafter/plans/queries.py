@@ -95,8 +95,8 @@ def json_props_flatten(spark: SparkSession, d: str) -> DataFrame:
 
 
 def json_catalogue_labels(spark: SparkSession, d: str) -> DataFrame:
-    """One catalogue per activity row; odd users come without a label."""
-    field = F.when(F.col("user_id") % 2 == 0, _text('"label":"kind ', "event_type", '"')).otherwise('"unit":"t"')
+    """One catalogue per activity row; clicks come without a label."""
+    field = F.when(F.col("event_type") != "click", _text('"label":"kind ', "event_type", '"')).otherwise('"unit":"t"')
     documents = table(spark, d, "events").select(
         _text('{"indicators":{"', "event_type", "/", "user_id", '":{', field, "}}}")
     )
@@ -110,7 +110,7 @@ def _text(*parts: str | Column) -> Column:
 
 
 def iso_like_filter(spark: SparkSession, d: str) -> DataFrame:
-    tail = F.when(F.col("n_chars") % 2 == 0, F.upper(F.substring("source", 1, 1))).otherwise(F.col("source"))
+    tail = F.when(F.col("lang") == "en", F.upper(F.substring("source", 1, 1))).otherwise(F.col("source"))
     codes = table(spark, d, "documents").select(F.concat(F.upper("lang"), tail).alias("code"))
     return codes.filter(three_capitals(F.col("code"))).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
@@ -122,7 +122,7 @@ def entity_filter_fallback(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("c_mktsegment") == "MACHINERY", F.col("c_mktsegment")).alias("region"),
     )
     nations = table(spark, d, "nation").select(
-        F.col("n_name").alias("id"), (F.col("n_nationkey") > 3).alias("aggregate"), F.lit("").alias("region")
+        F.col("n_name").alias("id"), (F.col("n_regionkey") > 0).alias("aggregate"), F.lit("").alias("region")
     )
     buyers = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("entity"), "o_totalprice")
     bought = (
@@ -393,7 +393,6 @@ def indicator_over_event_time(spark: SparkSession, d: str) -> DataFrame:
         _change(spark, d),
         dimensions.dim_indicator(_priority_labels(spark, d).select(F.col("code").alias("indicator")), [(_priority_labels(spark, d), "ORD")]),
         ["1-URGENT", "5-LOW", "B.Brand#7"],
-        [f"NATION_{i}" for i in range(0, 25, 2)],
     )
     return _rounded(shown, "value", "baseline_value", "pct_change")
 

@@ -46,6 +46,16 @@ def test_left_fills_offsets_of_seen_series(spark, events, rows):
         event_window(panel, events, how="outer")
 
 
+def test_event_span_prunes_the_panel_scan(spark, events, tmp_path):
+    path = str(tmp_path / "panel")
+    spark.createDataFrame([("S", "A", "x", t, 1.0) for t in range(50)], PANEL).write.parquet(path)
+    plan = event_window(spark.read.parquet(path), events)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time,94)" in plan and "LessThanOrEqual(time,106)" in plan
+    assert "BroadcastHashJoin" in plan
+    none = event_window(spark.read.parquet(path), events.limit(0))
+    assert none.count() == 0
+
+
 def test_change_against_baseline(panel, events):
     out = event_window_change(panel, events)
     assert tuple(out.columns) == FACT_COLUMNS
