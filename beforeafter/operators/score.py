@@ -15,11 +15,14 @@ LEVELS = (20.0, 50.0, 95.0)
 
 
 def completeness(candidates: DataFrame, indicators: DataFrame) -> DataFrame:
-    """``entity, data_completeness``: the share of the listed indicators with a value."""
+    """``entity, data_completeness``: the share of the listed indicators with a value.
+
+    Candidate values must be unique per entity and indicator, as a snapshot's are.
+    """
     total = indicators.agg(F.count(F.lit(1))).scalar()
     listed = candidates.join(indicators.select("indicator", F.lit(True).alias("listed")), "indicator", "left")
     present = listed.groupBy("entity").agg(F.count_if(F.col("listed") & F.col("value").isNotNull()).alias("n"))
-    return present.select("entity", (F.col("n") / total).alias("data_completeness"))
+    return present.select("entity", (F.col("n") / F.nullif(total, F.lit(0))).alias("data_completeness"))
 
 
 def add_readiness(

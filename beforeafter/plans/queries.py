@@ -86,7 +86,10 @@ def json_props_flatten(spark: SparkSession, d: str) -> DataFrame:
     """One nested document per activity row, with the day as time and ``k`` as value."""
     day = time_index(F.col("ts"), "day")
     documents = table(spark, d, "events").select(
-        _text('{"values":{"', "event_type", '":{"', "user_id", '":{"', day, '":', F.get_json_object("props", "$.k"), '}, "none": 7}}}')
+        _text(
+            '{"values":{"', "event_type", '":{"', "user_id", '":{"', day, '":',
+            F.get_json_object("props", "$.k"), '}, "none": 7}}}',
+        )
     )
     flat = nested_observations(documents)
     return flat.groupBy("entity", "indicator", "time").agg(
@@ -389,9 +392,10 @@ def top_ranked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def indicator_over_event_time(spark: SparkSession, d: str) -> DataFrame:
+    labels = _priority_labels(spark, d)
     shown = reports.over_event_time(
         _change(spark, d),
-        dimensions.dim_indicator(_priority_labels(spark, d).select(F.col("code").alias("indicator")), [(_priority_labels(spark, d), "ORD")]),
+        dimensions.dim_indicator(labels.select(F.col("code").alias("indicator")), [(labels, "ORD")]),
         ["1-URGENT", "5-LOW", "B.Brand#7"],
     )
     return _rounded(shown, "value", "baseline_value", "pct_change")

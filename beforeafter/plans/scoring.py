@@ -30,6 +30,8 @@ def prepare(reference: DataFrame, candidates: DataFrame) -> Prepared:
     """Long reference (``entity, event_at``) and candidate (``entity``) values → scaled rows."""
     indicators = stage_side(common_indicators(reference, candidates), "common")
     scaling = Scaling.of(reference_stats(reference, indicators))
+    if not scaling.width:
+        raise ValueError("reference and candidates share no indicator that has reference values")
     return Prepared(
         indicators,
         scaling,

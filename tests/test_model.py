@@ -9,7 +9,7 @@ from beforeafter.operators.one_class import add_label, fit_boundary, smallest_me
 from beforeafter.operators.scaling import Scaling, reference_stats, scaled_long, scaled_rows
 from beforeafter.operators.score import add_readiness, completeness, evaluate, score_rows
 from beforeafter.operators.snapshots import snapshot_at_event, snapshot_latest
-from beforeafter.plans.scoring import score_candidates
+from beforeafter.plans.scoring import prepare, score_candidates
 from beforeafter.staging import stage
 
 PANEL = "source string, entity string, indicator string, time int, value double"
@@ -80,8 +80,9 @@ def test_median_of_an_even_number(spark, rows):
     assert rows(exact_median(df)) == [("a", 6.0), ("b", 5.0)]
 
 
-@pytest.mark.parametrize("kind", ["spread", "outliers", "copies", "two values"])
-@pytest.mark.parametrize("n", [3000, 3001])
+@pytest.mark.parametrize(
+    "kind, n", [("spread", 3000), ("spread", 3001), ("outliers", 3000), ("copies", 3001), ("two values", 3000)]
+)
 def test_median_of_hot_keys(spark, kind, n):
     rng = np.random.default_rng(n)
     hot = {
@@ -121,6 +122,12 @@ def test_a_candidate_without_known_indicators_gets_medians(spark):
     assert row.z == pytest.approx([0.0])
 
 
+def test_nothing_in_common_is_an_error(spark):
+    reference = spark.createDataFrame([("a", 1, "x", 1.0)], REFERENCE)
+    with pytest.raises(ValueError, match="share no indicator"):
+        prepare(reference, spark.createDataFrame([("a", "y", 1.0)], "entity string, indicator string, value double"))
+
+
 def test_axes_equal_numpy(spark):
     train, other = numpy_scaled(*sample(8, 60, 20, 5, 0.1))
     train *= np.array([3.0, 2.0, 1.0, 0.5, 0.2])
