@@ -41,7 +41,7 @@ from beforeafter.sources import (
     wanted_entities,
 )
 from beforeafter.sources.panel import only_entities
-from beforeafter.staging import shared_dir, stage
+from beforeafter.staging import run_dir, shared_dir, stage
 
 # Features that the null and correlation filters bite on: two months before the event.
 FEATURE_MONTHS = 2
@@ -438,7 +438,7 @@ def rejected_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def load_report(spark: SparkSession, d: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/beforeafter/{spark.sparkContext.applicationId}/loaded-orders"
+    path = f"{run_dir(spark)}/loaded-orders"
     report = load(_landed_orders(spark, d), _ORDER_TARGET, path)
     back = spark.read.schema(_ORDER_TARGET).parquet(path).agg(F.count(F.lit(1)).alias("n_read"))
     return report.select(

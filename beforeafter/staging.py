@@ -18,31 +18,48 @@ _local_dir: str | None = None
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, seen by every executor.
 
-    Only where the session names none (local tests) is a temporary one made.
+    A local master may leave it unset and gets a temporary folder. Any other
+    master has to name one: executors cannot read what another machine keeps on
+    its own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir has to name a shared folder for master {master}")
     global _local_dir
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="beforeafter-")
     return _local_dir
 
 
+def run_dir(spark: SparkSession) -> str:
+    """Where this application's intermediate tables lie."""
+    return f"{shared_dir(spark)}/beforeafter/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     For frames that several later steps read: the work behind them is done once,
     lineage ends at files that outlive an executor, and later filters and column
-    lists reach the scan. Files lie in one folder per application and stay there:
-    lazy results may still read them.
+    lists reach the scan. Files lie in one folder per application and stay until
+    ``release``: lazy results may still read them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/beforeafter/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. To be called once every
+    result that reads them has been written or collected."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage_side(df: DataFrame, label: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Stage a join side that is derived from much data; its size is measured
     while it is written, and a small one comes back hinted for broadcast."""

@@ -135,3 +135,15 @@ def test_stage_goes_to_the_shared_folder(spark):
     assert staged.count() == 3
     if folder:
         assert all(folder in f for f in staged.inputFiles())
+
+
+def test_staging_needs_a_shared_folder_off_local_masters(spark):
+    from types import SimpleNamespace
+
+    from beforeafter.staging import shared_dir
+
+    unset = SimpleNamespace(get=lambda key, default: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="local-cluster[3,2,1024]")))
+    assert shared_dir(SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="local[4]")))
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

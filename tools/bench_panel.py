@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -51,6 +52,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", "16")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="beforeafter-"))
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
