@@ -9,6 +9,9 @@ from beforeafter.llm.ranks import numbered
 from beforeafter.llm.text import unused
 from beforeafter.staging import broadcast_if_small, stage
 
+#: Starts tried for each source.
+STARTS = 16
+
 
 def cyclic_weights(sources: DataFrame, cycle: tuple[float, ...]) -> DataFrame:
     """``source`` and ``weight``: the cycle dealt over the sources by code point, null last."""
@@ -58,9 +61,9 @@ def mix(
     ``max_epochs`` times its own size. With e epochs due, a row is taken floor(e) or
     ceil(e) whole times: rows of a source are put in order of size, then of a seeded
     hash of the row, and row r (from 0) takes floor(e (r + 1) + u) - floor(e r + u)
-    copies with a seeded start u. Over rows ordered by size the differences cancel,
-    so the words taken miss the target by at most one largest row, whatever the
-    source. Null sources form one source; null sizes count 0; a source of size 0 has
+    copies. Over rows ordered by size the differences cancel, so the words taken miss
+    the target by at most one largest row, whatever the source; of ``STARTS`` evenly
+    spaced starts u from a seeded one, each source takes the one that misses least. Null sources form one source; null sizes count 0; a source of size 0 has
     target 0; repeated rows are rows of their own. ``carry`` names the columns kept
     (default all); columns of the new names are replaced.
     """
@@ -95,12 +98,23 @@ def mix(
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("_epochs"),
         (F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)).alias("_start"),
     )
+    plan = broadcast_if_small(stage(plan, "mix-plan"))
     ranked = numbered(narrow, [F.col("size").asc(), F.col("_tie").asc()], groups=["source"], name="_rank")
-    due = F.floor(F.col("_epochs") * (F.col("_rank") + 1) + F.col("_start")) - F.floor(
-        F.col("_epochs") * F.col("_rank") + F.col("_start")
+    ranked = ranked.join(plan, F.col("source").eqNullSafe(F.col("_s")))
+
+    def due(start: Column) -> Column:
+        after, before = F.col("_epochs") * (F.col("_rank") + 1), F.col("_epochs") * F.col("_rank")
+        return (F.floor(after + start) - F.floor(before + start)).cast("long")
+
+    starts = [F.pmod(F.col("_start") + k / STARTS, F.lit(1.0)) for k in range(STARTS)]
+    sums = ranked.groupBy("source").agg(
+        F.first("target").alias("_t"), F.first("_start").alias("_b"), *[F.sum(F.col("size") * due(s)).alias(f"_{k}") for k, s in enumerate(starts)]
     )
-    taken = ranked.join(broadcast_if_small(plan), F.col("source").eqNullSafe(F.col("_s"))).select(
-        F.col(uid).alias("_u"), "source_size", "target", due.cast("long").alias("copies")
+    nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"_{k}") - F.col("_t")).alias("miss"), F.lit(k).alias("k")) for k in range(STARTS)]))
+    picked = sums.select(F.col("source").alias("_s2"), F.pmod(F.col("_b") + nearest["k"] / float(STARTS), F.lit(1.0)).alias("_u0"))
+    picked = broadcast_if_small(stage(picked, "mix-starts"))
+    taken = ranked.join(picked, F.col("source").eqNullSafe(F.col("_s2"))).select(
+        F.col(uid).alias("_u"), "source_size", "target", due(F.col("_u0")).alias("copies")
     )
     taken = stage(taken, "mix-copies")
     back = rows.join(broadcast_if_small(taken), F.col(uid) == F.col("_u"))

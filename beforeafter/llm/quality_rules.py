@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,67 +114,83 @@ def votes(rules: tuple[Rule, ...] = RULES) -> Column:
 
 @dataclass(frozen=True)
 class VoteModel:
-    """``odds[j]``: log of how much likelier each vote (-1, 0, 1) of rule j is from a good
-    row than from a bad one; ``prior``: the log odds of good before any vote."""
+    """``priors[c]`` and ``chances[c][j]``: share of class c and, in it, the chances that
+    rule j votes -1, 0 or 1. Class 0 is good; class j + 1 holds faults that rule j is
+    made for. ``accuracy[j]``: how often a vote of rule j is right, by the estimate."""
 
-    prior: float
-    odds: tuple[tuple[float, float, float], ...]
+    priors: tuple[float, ...]
+    chances: tuple[tuple[tuple[float, float, float], ...], ...]
     accuracy: tuple[float, ...]
 
     def posterior(self, votes: Column) -> Column:
-        total = F.lit(self.prior)
-        for j, (bad, none, good) in enumerate(self.odds):
-            v = F.get(votes, F.lit(j))
-            total = total + F.when(v < 0, bad).when(v > 0, good).otherwise(none)
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+        """Chance that a row with these votes is good."""
+        parts = []
+        for prior, chance in zip(self.priors, self.chances):
+            total = F.lit(math.log(prior))
+            for j, (bad, none, good) in enumerate(chance):
+                v = F.get(votes, F.lit(j))
+                total = total + F.when(v < 0, math.log(bad)).when(v > 0, math.log(good)).otherwise(math.log(none))
+            parts.append(F.exp(total))
+        return parts[0] / sum(parts[1:], parts[0])
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, tol: float = 1e-9, max_rounds: int = 10_000) -> VoteModel:
+#: Chances of a rule's votes on the faults it is made for: it catches nearly all.
+OWN_FAULT = (0.95, 0.04, 0.01)
+#: Belief about votes on good rows, weighing as much as all rows seen: few false alarms.
+ON_GOOD = (0.001, 0.05, 0.949)
+
+
+def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, tol: float = 1e-7, max_rounds: int = 100_000) -> VoteModel:
     """Expectation-maximisation over counted vote patterns.
 
-    Two classes; given the class, rules vote independently, each with its own chance
-    of -1, 0 and 1 in either class. The counts of ``prior`` votes added to every
-    estimate say only that rules are better than chance; they keep chances off zero.
-    Starts from rows with any bad vote as likely bad. Raises if the rounds run out.
+    A row is good or has one kind of fault, and given that its rules vote
+    independently. Faults of one kind pass most other rules, so with a single bad
+    class the votes of one kind's rules would outvote all others; with a class per
+    rule each is judged by its own votes. A rule's chances on its own kind are set
+    (``OWN_FAULT``), all others are estimated, false alarms on good rows with a belief
+    (``ON_GOOD``) as heavy as the rows themselves: without it votes that few others
+    echo could as well be false alarms. One vote added to each other estimate keeps
+    chances off zero. Starts from rows with bad
+    votes as likely faults of those rules. Raises if the rounds run out.
     """
-    weight = [c for _, c in patterns]
-    total = sum(weight)
-    if not total:
-        return VoteModel(0.0, ((0.0, 0.0, 0.0),) * n_rules, (0.5,) * n_rules)
-    added = {True: (0.1, 1.0, 9.0), False: (4.0, 3.0, 3.0)}
-    good = [0.05 if min(p, default=0) < 0 else 0.95 for p, _ in patterns]
+    n_classes = n_rules + 1
+    if not patterns:
+        none = ((1 / 3, 1 / 3, 1 / 3),) * n_rules
+        return VoteModel((1 / n_classes,) * n_classes, (none,) * n_classes, (0.5,) * n_rules)
+    count = np.array([c for _, c in patterns], dtype=float)
+    votes = np.array([p for p, _ in patterns])
+    onehot = (votes[:, :, None] == np.array([-1, 0, 1])).astype(float)
+    bad = np.hstack([np.full((len(count), 1), 0.01), onehot[:, :, 0] + 1e-3])
+    bad[(votes >= 0).all(axis=1), 0] = 1.0
+    share = bad / bad.sum(axis=1, keepdims=True)
+    added = np.ones((n_classes, n_rules, 3))
+    added[0] = np.array(ON_GOOD) * count.sum()
+    own = np.arange(n_rules)
+    moved = np.inf
     for _ in range(max_rounds):
-        chance = {}
-        for side in (True, False):
-            share = [c * (g if side else 1.0 - g) for c, g in zip(weight, good)]
-            mass = sum(share)
-            chance[side] = [
-                [
-                    (sum(s for s, (p, _) in zip(share, patterns) if p[j] == v) + added[side][v + 1])
-                    / (mass + sum(added[side]))
-                    for v in (-1, 0, 1)
-                ]
-                for j in range(n_rules)
-            ]
-        rate = (sum(c * g for c, g in zip(weight, good)) + 9.0) / (total + 10.0)
-        prior = math.log(rate / (1.0 - rate))
-        odds = [[math.log(a / b) for a, b in zip(chance[True][j], chance[False][j])] for j in range(n_rules)]
-        new = []
-        for p, _ in patterns:
-            x = prior + sum(odds[j][v + 1] for j, v in enumerate(p))
-            new.append(1.0 / (1.0 + math.exp(-x)) if x > -700 else 0.0)
-        moved = max(abs(a - b) for a, b in zip(new, good))
-        good = new
+        held = share * count[:, None]
+        sums = np.einsum("pc,pjv->cjv", held, onehot) + added
+        chances = sums / sums.sum(axis=2, keepdims=True)
+        chances[own + 1, own] = OWN_FAULT
+        priors = (held.sum(axis=0) + 1.0) / (count.sum() + n_classes)
+        log = np.log(priors) + np.einsum("cjv,pjv->pc", np.log(chances), onehot)
+        new = np.exp(log - log.max(axis=1, keepdims=True))
+        new /= new.sum(axis=1, keepdims=True)
+        moved = float(np.abs(new - share).max())
+        share = new
         if moved <= tol:
             break
     else:
         raise ArithmeticError(f"votes not settled after {max_rounds} rounds: still moving by {moved:.3g}")
-    right = tuple(
-        (rate * chance[True][j][2] + (1 - rate) * chance[False][j][0])
-        / (rate * (1 - chance[True][j][1]) + (1 - rate) * (1 - chance[False][j][1]))
-        for j in range(n_rules)
+    good = share[:, 0] * count
+    right = good @ onehot[:, :, 2] + (count - good) @ onehot[:, :, 0]
+    cast = count @ (onehot[:, :, 0] + onehot[:, :, 2])
+    accuracy = np.where(cast > 0, right / np.maximum(cast, 1.0), 0.5)
+    return VoteModel(
+        tuple(map(float, priors)),
+        tuple(tuple(tuple(map(float, v)) for v in c) for c in chances),
+        tuple(map(float, accuracy)),
     )
-    return VoteModel(prior, tuple(map(tuple, odds)), right)
 
 
 def judge_quality(
