@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beforeafter.llm import mixing, quality_rules, sharding, text, url_rules
+from beforeafter.llm import bpe, mixing, quality_classifier, quality_rules, sharding, simhash, text, url_rules
 from beforeafter.staging import stage
 
 #: Fixed values of the URL contract: rule and verdict.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 N_SHARDS = 8
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+GOOD_SCORE = 0.7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +45,38 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *base, "base_failed", "kept", "posterior")
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the bytes they decode to."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(texts, VOCABULARY, public_tokenizers.PATTERN).drop("text"), VOCABULARY, public_tokenizers.PATTERN)
+    return coded.select("doc_id", *token_digests())
+
+
+def token_digests() -> list[Column]:
+    return [
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    ]
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: 3-word shingles, 3 bits."""
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
+def scored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    voters = quality_classifier.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_classifier.add_score(docs, voters)
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by its nearest labelled ones."""
+    docs = scored(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
+    held = quality_classifier.held_out(F.col("doc_id")).alias("held_out")
+    return docs.select("doc_id", held, "score").withColumn("predicted", (F.col("score") >= GOOD_SCORE).cast("int"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt to eight shards of equal row counts."""
     content = F.coalesce("text", F.lit(""))
@@ -62,5 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_bpe": op6_bpe,
+    "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
+    "op10_quality_classifier": op10_quality_classifier,
 }
