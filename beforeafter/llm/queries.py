@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beforeafter.llm import bpe, mixing, quality_classifier, quality_rules, sharding, simhash, text, url_rules
-from beforeafter.staging import stage
+from beforeafter.llm import (
+    bpe, html_text, lm_scoring, mixing, quality_classifier, quality_rules, sharding, simhash, text, url_rules, vector_dedup,
+)
+from beforeafter.staging import broadcast_if_small, stage
 
 #: Fixed values of the URL contract: rule and verdict.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -30,6 +32,25 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document: documents labelled good, those held
+    out for tests aside, against all documents."""
+    key = F.col("doc_id")
+    good = table(spark, sf_dir, "labels").filter((F.col("quality") == 1) & ~quality_classifier.held_out(key))
+    good = good.select(key.alias("_good")).distinct()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = docs.join(broadcast_if_small(good), key == F.col("_good"), "left").select(
+        "doc_id", "text", F.col("_good").isNotNull().alias("is_target")
+    )
+    return lm_scoring.add_losses(docs, lm_scoring.train(marked, "is_target")).drop("text")
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by words: weights 5, 2, 1, at most two epochs."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"), text.word_count(F.col("text")), carry=["doc_id", "source"])
@@ -60,6 +81,11 @@ def token_digests() -> list[Column]:
     ]
 
 
+def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all vectors: equal labels, cosine 0.93 or more."""
+    return vector_dedup.classes_of(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, 3 bits."""
     return simhash.classes(table(spark, sf_dir, "documents"))
@@ -95,9 +121,12 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_html": op3_html,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe": op6_bpe,
+    "op7_vector_dedup": op7_vector_dedup,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_quality_classifier": op10_quality_classifier,
