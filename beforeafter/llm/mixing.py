@@ -69,21 +69,18 @@ def mix(
     """
     new = ("size", "source_size", "target", "copies")
     carry = [c for c in (df.columns if carry is None else carry) if c.lower() not in new]
-    wide = [c for c in carry if c != source_col]
-    uid = unused("_uid", df.columns)
-    source = F.col(f"`{source_col}`")
     # Written once: sizes and row ids stay the same however often they are read.
     rows = stage(
         df.select(
-            *[F.col(f"`{c}`") for c in wide],
-            source.alias("_source"),
+            F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
+            F.col(f"`{source_col}`").alias("source"),
             F.coalesce(size, F.lit(0)).cast("long").alias("size"),
             F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns if _hashable(df, c)]).alias("_tie"),
-            F.monotonically_increasing_id().alias(uid),
+            F.monotonically_increasing_id().alias("uid"),
         ),
         "mix-rows",
     )
-    narrow = rows.select(F.col("_source").alias("source"), "size", "_tie", uid)
+    narrow = rows.select("source", "size", "_tie", "uid")
     totals = stage(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
     weighted = totals.join(
         broadcast_if_small(cyclic_weights(totals, cycle)).withColumnRenamed("source", "_s"),
@@ -114,17 +111,11 @@ def mix(
     picked = sums.select(F.col("source").alias("_s2"), F.pmod(F.col("_b") + nearest["k"] / float(STARTS), F.lit(1.0)).alias("_u0"))
     picked = broadcast_if_small(stage(picked, "mix-starts"))
     taken = ranked.join(picked, F.col("source").eqNullSafe(F.col("_s2"))).select(
-        F.col(uid).alias("_u"), "source_size", "target", due(F.col("_u0")).alias("copies")
+        F.col("uid").alias("_u"), "source_size", "target", due(F.col("_u0")).alias("copies")
     )
     taken = stage(taken, "mix-copies")
-    back = rows.join(broadcast_if_small(taken), F.col(uid) == F.col("_u"))
-    return back.select(
-        *[F.col("_source").alias(c) if c == source_col else F.col(f"`{c}`") for c in carry],
-        "size",
-        "source_size",
-        "target",
-        "copies",
-    )
+    back = rows.join(broadcast_if_small(taken), F.col("uid") == F.col("_u"))
+    return back.select(*[F.col("row")[c].alias(c) for c in carry], "size", "source_size", "target", "copies")
 
 
 def _hashable(df: DataFrame, name: str) -> bool:

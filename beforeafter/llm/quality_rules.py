@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beforeafter.llm.text import let, words
+from beforeafter.llm.text import let, unused, words
 from beforeafter.staging import stage
 
 #: Words of a window whose repetition counts.
@@ -207,8 +207,9 @@ def judge_quality(
     """
     new = {*MEASURES, "base_failed", "votes", "posterior", "kept"}
     carry = [c for c in (df.columns if carry is None else carry) if c.lower() not in new]
-    measured = df.select(*[F.col(f"`{c}`") for c in carry], measures(F.col(f"`{text_col}`")).alias("_m"))
-    measured = measured.select(*[F.col(f"`{c}`") for c in carry], *[F.col("_m")[m].alias(m) for m in MEASURES])
+    name = unused("_m", carry)
+    measured = df.select(*[F.col(f"`{c}`") for c in carry], measures(F.col(f"`{text_col}`")).alias(name))
+    measured = measured.select(*[F.col(f"`{c}`") for c in carry], *[F.col(name)[m].alias(m) for m in MEASURES])
     # Written once, as the measures are read for the counts and for the verdicts.
     rows = stage(measured.withColumn("votes", votes(rules)), "rule-votes")
     patterns = [(tuple(r["votes"]), r["count"]) for r in rows.groupBy("votes").count().collect()]

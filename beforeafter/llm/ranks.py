@@ -20,7 +20,10 @@ def numbered(df: DataFrame, order: list[Column], groups: list[str] | None = None
     and nulls form one group. An empty frame stays empty.
     """
     groups = groups or []
-    part, place, at = (unused(n, df.columns) for n in ("_part", "_place", "_at"))
+    part, place, at, p, first, n, shift = (
+        unused(x, df.columns) for x in ("_part", "_place", "_at", "_p", "_first", "_n", "_shift")
+    )
+    copies = [unused(f"_g{i}", df.columns) for i in range(len(groups))]
     keys = [F.col(f"`{g}`").asc_nulls_first() for g in groups] + order
     dealt = (
         df.withColumn(at, F.monotonically_increasing_id())
@@ -31,17 +34,17 @@ def numbered(df: DataFrame, order: list[Column], groups: list[str] | None = None
         .drop(at)
     )
     staged = stage(dealt, "numbered")
-    counted = staged.groupBy(part, *groups).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
+    counted = staged.groupBy(part, *groups).agg(F.count(F.lit(1)).alias(n), F.min(place).alias(first))
     # One row per partition and group in it: a partition holds a run of groups, so
     # there are at most as many as partitions and groups together.
     before = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     shifts = counted.select(
-        F.col(part).alias("_p"),
-        *[F.col(f"`{g}`").alias(f"_g{i}") for i, g in enumerate(groups)],
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.col(part).alias(p),
+        *[F.col(f"`{g}`").alias(c) for g, c in zip(groups, copies)],
+        (F.coalesce(F.sum(n).over(before), F.lit(0)) - F.col(first)).alias(shift),
     )
-    on = F.col(part) == F.col("_p")
-    for i, g in enumerate(groups):
-        on = on & F.col(f"`{g}`").eqNullSafe(F.col(f"_g{i}"))
+    on = F.col(part) == F.col(p)
+    for g, c in zip(groups, copies):
+        on = on & F.col(f"`{g}`").eqNullSafe(F.col(c))
     joined = staged.join(broadcast_if_small(stage(shifts, "shifts")), on)
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(place) + F.col("_shift")).alias(name))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(place) + F.col(shift)).alias(name))

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beforeafter.llm.components import connected
-from beforeafter.llm.text import unused
 from beforeafter.staging import broadcast_if_small, stage
 
 BITS = 64
@@ -134,7 +133,8 @@ def linked(fps: DataFrame, distance: int) -> DataFrame:
     fp = F.col("fp")
     rows = fps.select(fp, F.explode(_variants(fp, kept_bit_masks(distance))).alias("key")).repartition("key")
     shared = rows.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo != hi")
-    close = stage(rows.join(shared.select("key"), "key", "left_semi").select("fp").distinct(), "simhash-close")
+    # Merge joins: the planner takes an explode for no larger than its input.
+    close = stage(rows.join(shared.select("key").hint("merge"), "key", "left_semi").select("fp").distinct(), "simhash-close")
 
     near, far = ball_masks(distance)
     whole = (1 << BITS) - 1
@@ -146,7 +146,7 @@ def linked(fps: DataFrame, distance: int) -> DataFrame:
             odd.select(fp, F.explode(_variants(fp, [(f, whole, 0) for f in far])).alias("key"), F.lit(False).alias("near"))
         )
     hubs = near_rows.groupBy("key").agg(F.min("fp").alias("hub"))
-    met = rows.join(hubs, "key").filter((fp != F.col("hub")) & (F.bit_count(fp.bitwiseXOR(F.col("hub"))) <= distance))
+    met = rows.join(hubs.hint("merge"), "key").filter((fp != F.col("hub")) & (F.bit_count(fp.bitwiseXOR(F.col("hub"))) <= distance))
     return met.select(fp.alias("a"), F.col("hub").alias("b")).distinct()
 
 
@@ -170,7 +170,7 @@ def classes(
     new = ("fingerprint", "component_id", "kept")
     carry = [c for c in (carry or [id_col]) if c.lower() not in new]
     return _classes(_fingerprinted(df, id_col, text_col, shingle, carry), distance).select(
-        *[F.col(f"`{c}`") for c in carry], hexadecimal(F.col("_fp")).alias("fingerprint"), "component_id", "kept"
+        *[F.col("row")[c].alias(c) for c in carry], hexadecimal(F.col("fp")).alias("fingerprint"), "component_id", "kept"
     )
 
 
@@ -183,36 +183,34 @@ def one_of_each(
     both sides if these are many, travel to drop them.
     """
     rows = _fingerprinted(df, id_col, text_col, shingle, df.columns)
-    gone = stage(_classes(rows, distance).filter(~F.col("kept")).select("_uid"), "simhash-gone")
-    return rows.join(broadcast_if_small(gone), "_uid", "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    gone = stage(_classes(rows.drop("row"), distance).filter(~F.col("kept")).select("uid"), "simhash-gone")
+    return rows.join(broadcast_if_small(gone), "uid", "left_anti").select(*[F.col("row")[c].alias(c) for c in df.columns])
 
 
 def _fingerprinted(df: DataFrame, id_col: str, text_col: str, shingle: int, carry: list[str]) -> DataFrame:
-    """Written once, so that the texts are hashed once and row numbers stay."""
-    hashed = add_fingerprint(df, text_col, shingle, unused("_fp", df.columns))
-    return stage(
-        hashed.select(
-            *[F.col(f"`{c}`") for c in carry],
-            F.col(f"`{id_col}`").alias("_id"),
-            F.col(hashed.columns[-1]).alias("_fp"),
-            F.monotonically_increasing_id().alias("_uid"),
-        ),
-        "simhash-rows",
+    """``row`` (the carried columns), ``id``, ``fp`` and ``uid``, written once, so that
+    the texts are hashed once and row numbers stay."""
+    packed = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
+        F.col(f"`{id_col}`").alias("id"),
+        F.col(f"`{text_col}`").alias("text"),
+        F.monotonically_increasing_id().alias("uid"),
     )
+    return stage(add_fingerprint(packed, "text", shingle, "fp").drop("text"), "simhash-rows")
 
 
 def _classes(rows: DataFrame, distance: int) -> DataFrame:
-    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_uid").alias("uid")))
-    per_fp = stage(rows.groupBy("_fp").agg(first.alias("_first")), "simhash-fps")
-    roots = connected(linked(per_fp.select(F.col("_fp").alias("fp")), distance))
-    rooted = per_fp.join(roots, per_fp["_fp"] == roots["node"], "left").select(
-        F.col("_fp").alias("_f"), F.coalesce("root", "_fp").alias("_root"), "_first"
+    """Adds ``component_id`` and ``kept`` to fingerprinted rows."""
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("uid").alias("uid")))
+    per_fp = stage(rows.groupBy("fp").agg(first.alias("first")), "simhash-fps")
+    roots = connected(linked(per_fp.select("fp"), distance))
+    rooted = per_fp.join(roots, F.col("fp") == F.col("node"), "left").select(
+        F.col("fp").alias("of"), F.coalesce("root", "fp").alias("root"), "first"
     )
-    heads = rooted.groupBy("_root").agg(F.min("_first").alias("_head")).withColumnRenamed("_root", "_r")
-    table = rooted.join(heads, F.col("_root") == F.col("_r")).select("_f", "_head")
-    table = stage(table, "simhash-classes")
+    heads = rooted.groupBy("root").agg(F.min("first").alias("head"))
+    table = stage(rooted.join(heads, "root").select("of", "head"), "simhash-classes")
     # A third of all rows may share a fingerprint: an ordinary join, which adaptive
     # execution splits.
-    return rows.join(table, F.col("_fp") == F.col("_f")).select(
-        *rows.columns, F.col("_head")["id"].alias("component_id"), (F.col("_head")["uid"] == F.col("_uid")).alias("kept")
+    return rows.join(table, F.col("fp") == F.col("of")).select(
+        *rows.columns, F.col("head")["id"].alias("component_id"), (F.col("head")["uid"] == F.col("uid")).alias("kept")
     )

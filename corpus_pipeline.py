@@ -27,7 +27,8 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the voted rules keep."""
-    return quality_rules.judge_quality(docs).filter("kept").select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("row"), "text")
+    return quality_rules.judge_quality(packed, carry=["row"]).filter("kept").select("row.*")
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,9 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
-    return mixing.repeated(mixing.mix(docs, text.word_count(F.col("text"))), docs.columns)
+    packed = docs.select(F.struct("*").alias("row"), "source", "text")
+    mixed = mixing.mix(packed, text.word_count(F.col("text")), carry=["row"])
+    return mixing.repeated(mixed, ["row"]).select("row.*")
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
