@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Vectors iterated beside the wanted axes: they take up what lies close behind these.
+SPARE = 8
+# Rows multiplied at a time, and the part of the largest variance that may be missed.
+SLICE = 1_024
+TOLERANCE = 1e-12
+
 
 @dataclass(frozen=True)
 class Axes:
@@ -19,22 +24,62 @@ class Axes:
     loadings: np.ndarray
 
 
-def fit_axes(reference_rows: DataFrame, k: int = 2) -> Axes:
-    """Axes of the ``z`` rows, which are read several times.
+def _product(rows: DataFrame, block: np.ndarray) -> np.ndarray:
+    """Sum over the rows of z times (z block), by one pass.
+
+    A task adds up a matrix of the block's shape; the matrices are added line by line,
+    so neither a task nor the driver holds more than a width times a few numbers.
+    """
+    held = rows.sparkSession.sparkContext.broadcast(block)
+    k = block.shape[1]
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros_like(held.value)
+        for batch in batches:
+            for at in range(0, len(batch), SLICE):
+                z = np.stack(batch["z"].iloc[at : at + SLICE].to_list())
+                total += z.T @ (z @ held.value)
+        yield pd.DataFrame({"line": np.arange(len(total)), **{f"c{j}": total[:, j] for j in range(k)}})
+
+    schema = ", ".join(["line int", *(f"c{j} double" for j in range(k))])
+    lines = rows.select("z").mapInPandas(partial, schema).groupBy("line").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(k)])
+    out = np.zeros_like(block)
+    for r in lines.collect():
+        out[r["line"]] = r[1:]
+    return out
+
+
+def fit_axes(reference_rows: DataFrame, k: int = 2, max_rounds: int = 500) -> Axes:
+    """Axes of the ``z`` rows, which are read once per round: stage them first.
 
-    Spark adds up the covariances; only that matrix, as wide as a row, reaches the
-    driver, where its eigenvectors are taken. ``ml.feature.PCA`` brings the same
-    matrix there but decomposes it much more slowly. An axis has no natural
+    Block power iteration on the covariances: each round multiplies a few vectors by
+    them in one distributed pass and turns the results to the best axes within their
+    span (Rayleigh and Ritz). The covariances themselves are never built. Ends when
+    every wanted axis is mapped onto itself to ``TOLERANCE`` of the largest variance,
+    and raises if that takes more than ``max_rounds``. An axis has no natural
     direction, so each is turned until its largest loading in size is positive.
     """
-    vectors = reference_rows.select(array_to_vector("z").alias("z"))
-    # An unvarying value has no correlation; its covariances are zero.
-    correlation = np.nan_to_num(Correlation.corr(vectors, "z").head()[0].toArray())
-    spread = vectors.select(Summarizer.std(F.col("z"))).first()[0].toArray()
-    _, eigenvectors = np.linalg.eigh(correlation * np.outer(spread, spread))
-    if k > len(spread):
-        raise ValueError(f"{k} axes need as many indicators, there are {len(spread)}")
-    loadings = eigenvectors[:, ::-1][:, :k]
+    size = reference_rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("z")).alias("d")).first()
+    n, d = size["n"], size["d"] or 0
+    if k > d:
+        raise ValueError(f"{k} axes need as many indicators, there are {d}")
+    means = reference_rows.select(F.posexplode("z").alias("slot", "x")).groupBy("slot").agg(F.avg("x").alias("m"))
+    centre = np.zeros(d)
+    for r in means.collect():
+        centre[r["slot"]] = r["m"]
+    block, _ = np.linalg.qr(np.random.default_rng(3).standard_normal((d, min(d, k + SPARE))))
+    for _ in range(max_rounds):
+        image = (_product(reference_rows, block) - n * np.outer(centre, centre @ block)) / max(n - 1, 1)
+        values, turn = np.linalg.eigh((block.T @ image + image.T @ block) / 2)
+        order = np.argsort(-values)
+        axes, mapped, values = block @ turn[:, order], image @ turn[:, order], values[order]
+        missed = np.linalg.norm(mapped[:, :k] - axes[:, :k] * values[:k], axis=0).max()
+        if missed <= TOLERANCE * max(values[0], 1e-300) or block.shape[1] == d:
+            break
+        block, _ = np.linalg.qr(mapped)
+    else:
+        raise ArithmeticError(f"axes not settled after {max_rounds} rounds: {missed / values[0]:.3g} of the variance missed")
+    loadings = axes[:, :k]
     lead = loadings[np.abs(loadings).argmax(axis=0), range(k)]
     return Axes(loadings * np.where(lead < 0, -1.0, 1.0))
 
@@ -46,7 +91,8 @@ def project(rows: DataFrame, axes: Axes) -> DataFrame:
 
     @F.pandas_udf("array<double>")
     def placed(z: pd.Series) -> pd.Series:
-        return pd.Series(list(np.stack(z.to_list()) @ loadings)) if len(z) else pd.Series(dtype=object)
+        parts = [np.stack(z.iloc[at : at + SLICE].to_list()) @ loadings for at in range(0, len(z), SLICE)]
+        return pd.Series([row for part in parts for row in part], dtype=object)
 
     at = rows.withColumn("at", placed("z"))
     return at.select(*rows.columns, *[F.col("at")[i].alias(f"axis_{i + 1}") for i in range(loadings.shape[1])])

@@ -4,43 +4,44 @@ The problem: minimise half the squared length of a weighted mean of the mapped
 reference rows, weights at most 1/(nu n). A row scores its product with that
 mean less a threshold; above zero it is an inlier (label 1), else -1.
 
-Up to ``exact_rows`` reference rows the kernel itself is used. Above that, random
-Fourier features (Rahimi and Recht 2007) stand for it, and each step is one
-distributed pass for a score quantile and one for a vector sum.
+There is one algorithm at every size: the kernel itself on at most ``fit_rows``
+reference rows, those with the least hashes of their values; the rest of the
+reference rows only count. Candidates are scored where they lie.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest reference matrix that is broadcast for the exact kernel.
-EXACT_BYTES = 64 * 1024 * 1024
+# Reference rows a fit uses at most: its kernel matrix has the square of that.
+FIT_ROWS = 1_000
+# Largest gap of optimality a fit may end with.
+TOLERANCE = 1e-9
+# Rows whose kernel is worked out at a time.
+SLICE = 1_024
 
 
 @dataclass(frozen=True)
 class Boundary:
-    """``exact``: rows and their weights; otherwise the feature map and mean vector."""
+    """Reference rows with a weight, the weights, and how the fit went: ``rows_seen``
+    reference rows, of which ``rows_used`` were fitted, to a ``gap`` of optimality."""
 
-    exact: bool
     gamma: float
     points: np.ndarray
-    shift: np.ndarray
     weights: np.ndarray
     threshold: float
     gap: float
+    rows_seen: int
+    rows_used: int
 
     def values(self, z: np.ndarray) -> np.ndarray:
-        if self.exact:
-            return _kernel(z, self.points, self.gamma) @ self.weights - self.threshold
-        return _features(z, self.points, self.shift) @ self.weights - self.threshold
+        parts = [_kernel(z[at : at + SLICE], self.points, self.gamma) @ self.weights for at in range(0, len(z), SLICE)]
+        return np.concatenate([*parts, np.zeros(0)]) - self.threshold
 
 
 def _kernel(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
@@ -48,17 +49,12 @@ def _kernel(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
     return np.exp(-gamma * np.maximum(squares, 0.0))
 
 
-def _features(z: np.ndarray, points: np.ndarray, shift: np.ndarray) -> np.ndarray:
-    return np.sqrt(2.0 / len(shift)) * np.cos(z @ points + shift)
-
-
-def _matrix(z: pd.Series) -> np.ndarray:
-    return np.stack(z.to_list())
-
-
-def smallest_mean(gram: np.ndarray, cap: float, tol: float = 1e-9, max_steps: int = 200_000) -> tuple[np.ndarray, float]:
+def smallest_mean(
+    gram: np.ndarray, cap: float, tol: float = TOLERANCE, max_steps: int = 1_000_000
+) -> tuple[np.ndarray, float]:
     """Weights in [0, cap] summing to 1 with the shortest weighted mean, and what is
-    left of the optimality gap. Each step moves weight between the worst pair."""
+    left of the optimality gap. Each step moves weight between the worst pair. Raises
+    if the gap is not down to ``tol`` in ``max_steps``."""
     n = len(gram)
     alpha = np.full(n, 1.0 / n)
     grad = gram @ alpha
@@ -70,48 +66,34 @@ def smallest_mean(gram: np.ndarray, cap: float, tol: float = 1e-9, max_steps: in
         i, j = int(up.argmin()), int(down.argmax())
         gap = down[j] - up[i]
         if gap <= tol:
-            break
+            return alpha, float(max(gap, 0.0))
         curve = max(gram[i, i] + gram[j, j] - 2.0 * gram[i, j], 1e-15)
         step = min(gap / curve, cap - alpha[i], alpha[j])
         alpha[i] += step
         alpha[j] -= step
         grad += step * (gram[:, i] - gram[:, j])
-    return alpha, float(max(gap, 0.0))
+    raise ArithmeticError(f"boundary not settled after {max_steps} steps: gap {gap:.3g}, tolerance {tol:.3g}")
 
 
 def fit_boundary(
-    reference_rows: DataFrame,
-    nu: float = 0.05,
-    gamma: float | None = None,
-    exact_rows: int = 1000,
-    n_features: int = 4096,
-    max_steps: int = 40,
-    tol: float = 1e-3,
-    seed: int = 7,
+    reference_rows: DataFrame, nu: float = 0.05, gamma: float | None = None, fit_rows: int = FIT_ROWS, tol: float = TOLERANCE
 ) -> Boundary:
     """Boundary of rows with a ``z`` array; ``gamma`` defaults to one over its length.
 
-    ``reference_rows`` is read once per step, so stage it first.
+    Above ``fit_rows`` rows the fit takes those with the least hashes of ``z`` (ties by
+    ``z`` itself): the same rows whatever their order or partitions.
     """
     size = reference_rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("z")).alias("d")).first()
-    n, d = size["n"], size["d"]
-    if not n:
+    if not size["n"]:
         raise ValueError("no reference rows")
-    gamma = 1.0 / d if gamma is None else gamma
-    if n <= exact_rows and n * d * 8 <= EXACT_BYTES:
-        return _fit_exact(reference_rows, n, nu, gamma)
-    rng = np.random.default_rng(seed)
-    points = rng.normal(scale=np.sqrt(2.0 * gamma), size=(d, n_features))
-    shift = rng.uniform(0.0, 2.0 * np.pi, n_features)
-    return _fit_features(reference_rows, nu, gamma, points, shift, max_steps, tol)
-
-
-def _fit_exact(rows: DataFrame, n: int, nu: float, gamma: float) -> Boundary:
-    # Size checked by the caller: at most EXACT_BYTES.
-    points = np.array([r["z"] for r in rows.select("z").collect()], dtype=float)
+    gamma = 1.0 / size["d"] if gamma is None else gamma
+    # At most fit_rows rows reach the driver.
+    chosen = reference_rows.select("z").orderBy(F.xxhash64("z"), "z").limit(fit_rows).collect()
+    points = np.array([r["z"] for r in chosen], dtype=float)
+    n = len(points)
     gram = _kernel(points, points, gamma)
     cap = 1.0 / (nu * n)
-    alpha, gap = smallest_mean(gram, cap)
+    alpha, gap = smallest_mean(gram, cap, tol)
     scores = gram @ alpha
     free = (alpha > cap * 1e-8) & (alpha < cap * (1 - 1e-8))
     if free.any():
@@ -121,61 +103,20 @@ def _fit_exact(rows: DataFrame, n: int, nu: float, gamma: float) -> Boundary:
         ends = [e for e in (full.max() if len(full) else None, none.min() if len(none) else None) if e is not None]
         threshold = float(np.mean(ends))
     used = alpha > 0
-    return Boundary(True, gamma, points[used], np.zeros(0), alpha[used], float(threshold), gap)
-
-
-def _fit_features(
-    rows: DataFrame, nu: float, gamma: float, points: np.ndarray, shift: np.ndarray, max_steps: int, tol: float
-) -> Boundary:
-    """Repeat: find the lowest-scoring share nu of the rows, add their mean to the
-    candidates, and take the shortest weighted mean of all candidates so far."""
-
-    def low_mean(weights: np.ndarray, limit: float) -> np.ndarray:
-        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total, count = np.zeros(len(shift)), 0
-            for batch in batches:
-                if len(batch):
-                    phi = _features(_matrix(batch["z"]), points, shift)
-                    low = phi @ weights <= limit
-                    total += phi[low].sum(axis=0)
-                    count += int(low.sum())
-            yield pd.DataFrame({"total": [total], "n": [count]})
-
-        parts = rows.select("z").mapInPandas(sums, "total array<double>, n long")
-        added = parts.agg(
-            vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total"), F.sum("n").alias("n")
-        ).first()
-        return np.array(added["total"]) / added["n"]
-
-    def quantile(weights: np.ndarray, share: float) -> float:
-        @F.pandas_udf("double")
-        def score(z: pd.Series) -> pd.Series:
-            return pd.Series(_features(_matrix(z), points, shift) @ weights) if len(z) else pd.Series(dtype=float)
-
-        return rows.agg(F.percentile_approx(score("z"), share, 100_000)).first()[0]
-
-    share = min(1.0, nu + 2e-5)
-    corners = [low_mean(np.zeros(len(shift)), 0.0)]
-    weights, gap = corners[0], np.inf
-    for _ in range(max_steps):
-        corner = low_mean(weights, quantile(weights, share))
-        gap = float(weights @ (weights - corner)) / float(weights @ weights)
-        if gap <= tol:
-            break
-        corners.append(corner)
-        stack = np.stack(corners)
-        mix, _ = smallest_mean(stack @ stack.T, 1.0, tol=1e-12)
-        weights = mix @ stack
-    return Boundary(False, gamma, points, shift, weights, quantile(weights, nu), max(gap, 0.0))
+    return Boundary(gamma, points[used], alpha[used], float(threshold), gap, size["n"], n)
 
 
 def add_label(rows: DataFrame, boundary: Boundary) -> DataFrame:
-    """Adds ``decision`` and ``anomaly_label`` (1 inside, -1 outside); narrow, no shuffle."""
+    """Adds ``decision`` and ``anomaly_label`` (1 inside, -1 outside); narrow, no shuffle.
+
+    The boundary is broadcast: at most ``fit_rows`` rows, checked by the fit."""
     held = rows.sparkSession.sparkContext.broadcast(boundary)
 
     @F.pandas_udf("double")
     def decision(z: pd.Series) -> pd.Series:
-        return pd.Series(held.value.values(_matrix(z))) if len(z) else pd.Series(dtype=float)
+        at = range(0, len(z), SLICE)
+        parts = [held.value.values(np.stack(z.iloc[i : i + SLICE].to_list())) for i in at]
+        return pd.Series(np.concatenate([*parts, np.zeros(0)]))
 
     return rows.withColumn("decision", decision("z")).withColumn(
         "anomaly_label", F.when(F.col("decision") > 0, F.lit(1)).otherwise(F.lit(-1))

@@ -14,9 +14,10 @@ from beforeafter.functions import signed_log
 from beforeafter.operators.features import keep_indicators
 from beforeafter.operators.medians import exact_median
 from beforeafter.schema import EVENT_KEYS
+from beforeafter.staging import broadcast_if_small
 
-# Widest matrix Spark's PCA takes.
-MAX_WIDTH = 65_535
+# Rows filled at a time.
+SLICE = 1_024
 
 
 def reference_stats(
@@ -71,9 +72,8 @@ class Scaling:
 
     @classmethod
     def of(cls, stats: DataFrame) -> "Scaling":
-        rows = stats.orderBy("indicator").limit(MAX_WIDTH + 1).collect()
-        if len(rows) > MAX_WIDTH:
-            raise ValueError(f"a row of more than {MAX_WIDTH} indicators is too wide for principal axes")
+        # As many rows as a scaled row has numbers.
+        rows = stats.orderBy("indicator").collect()
         return cls(
             [r["indicator"] for r in rows],
             np.array([r["median"] for r in rows], dtype=float),
@@ -97,33 +97,37 @@ def scaled_rows(long: DataFrame, scaling: Scaling, keys: Sequence[str]) -> DataF
     """One row per key with ``z``, the filled and scaled values in code order.
 
     Keys without any known indicator still get a row, of medians. The values of a
-    key must be unique per indicator, so a row gathers at most ``width`` of them.
+    key must be unique per indicator, so a row gathers at most ``width`` of them; a
+    repeated one raises.
     """
     x = signed_log(F.col("value"))
     cell = F.when(
         F.col("slot").isNotNull() & F.col("value").isNotNull(),
         F.struct("slot", ((x - F.col("mean")) / F.col("spread")).alias("z")),
     )
-    # At most MAX_WIDTH rows, checked in Scaling.of.
-    table = F.broadcast(scaling.table(long.sparkSession))
+    table = broadcast_if_small(scaling.table(long.sparkSession))
     cells = long.join(table, "indicator", "left").groupBy(*keys).agg(F.collect_list(cell).alias("cells"))
     gap = (scaling.median - scaling.mean) / scaling.spread
 
     @F.pandas_udf("array<double>")
     def filled(slots: pd.Series, values: pd.Series) -> pd.Series:
-        out = np.tile(gap, (len(slots), 1))
-        lengths = slots.map(len).to_numpy()
-        if lengths.sum():
-            out[np.repeat(np.arange(len(slots)), lengths), np.concatenate(slots.to_list())] = np.concatenate(
-                values.to_list()
-            )
-        return pd.Series(list(out))
+        out = []
+        for at in range(0, len(slots), SLICE):
+            some, known = slots.iloc[at : at + SLICE], values.iloc[at : at + SLICE]
+            z = np.tile(gap, (len(some), 1))
+            lengths = some.map(len).to_numpy()
+            if lengths.sum():
+                z[np.repeat(np.arange(len(some)), lengths), np.concatenate(some.to_list())] = np.concatenate(known.to_list())
+            out += list(z)
+        return pd.Series(out, dtype=object)
 
-    return cells.select(*keys, filled(F.col("cells.slot"), F.col("cells.z")).alias("z"))
+    at = F.col("cells.slot")
+    unique = F.when(F.size(F.array_distinct(at)) < F.size(at), F.raise_error(F.lit("repeated key and indicator"))).otherwise(at)
+    return cells.select(*keys, filled(unique, F.col("cells.z")).alias("z"))
 
 
 def scaled_long(rows: DataFrame, scaling: Scaling, keys: Sequence[str]) -> DataFrame:
     """``scaled_rows`` output as one row per key and indicator."""
-    names = F.broadcast(scaling.table(rows.sparkSession).select("slot", "indicator"))
+    names = broadcast_if_small(scaling.table(rows.sparkSession).select("slot", "indicator"))
     cells = rows.select(*keys, F.posexplode("z").alias("slot", "scaled"))
     return cells.join(names, "slot").select(*keys, "indicator", "scaled")

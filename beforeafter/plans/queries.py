@@ -243,14 +243,15 @@ def snapshot_at_event(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Reference snapshots at the events and candidate snapshots at the end of each source."""
-    panel = stage(_panel(spark, d), "panel")
+    """Reference snapshots at the events and candidate snapshots at the end of each
+    source, each reduced from the panel by itself: the panel is not written."""
+    panel = _panel(spark, d)
     reference = snapshots.snapshot_at_event(panel, nation_events(spark, d))
-    return reference, snapshots.snapshot_latest(panel, "per_source")
+    return stage(reference, "reference"), stage(snapshots.snapshot_latest(panel, "per_source"), "candidates")
 
 
 def _prepared(reference: DataFrame, candidates: DataFrame) -> Prepared:
-    return prepare(stage(reference, "reference"), stage(candidates, "candidates"))
+    return prepare(reference, candidates)
 
 
 def common_indicators(spark: SparkSession, d: str) -> DataFrame:
@@ -271,24 +272,24 @@ def pca_axes(spark: SparkSession, d: str) -> DataFrame:
     ready = _prepared(*_sides(spark, d))
     axes = fit_axes(stage(ready.reference_rows, "reference-rows"))
     cand = project(ready.candidate_rows, axes)
-    return anchored(cand, cand.select("entity", "axis_1"), "NATION_1", "NATION_2").drop("z")
+    turned = anchored(cand, cand.select("entity", "axis_1"), "NATION_1", "NATION_2").drop("z")
+    return _rounded(turned, "axis_1", "axis_2")
 
 
 def one_class_score(spark: SparkSession, d: str) -> DataFrame:
     ready = _prepared(*_sides(spark, d))
     boundary = fit_boundary(stage(ready.reference_rows, "reference-rows"))
-    return add_label(ready.candidate_rows, boundary).drop("z")
+    return _rounded(add_label(ready.candidate_rows, boundary).drop("z"), "decision")
 
 
 def one_class_score_features(spark: SparkSession, d: str) -> DataFrame:
-    """The path for large reference sets: user and day rows against signup days."""
-    panel = stage(activity_panel(spark, d), "activity")
-    reference = snapshots.snapshot_at_event(panel, _signups(spark, d))
+    """Many reference rows and more candidates: user and day rows against signup days."""
+    panel = activity_panel(spark, d)
+    reference = stage(snapshots.snapshot_at_event(panel, _signups(spark, d)), "reference")
     candidates = panel.select(F.concat_ws("@", "entity", "time").alias("entity"), "indicator", "value")
-    ready = _prepared(reference, candidates)
-    rows = stage(ready.reference_rows, "reference-rows")
-    boundary = fit_boundary(rows, exact_rows=0, n_features=512, max_steps=8)
-    return add_label(ready.candidate_rows, boundary).drop("z")
+    ready = _prepared(reference, stage(candidates, "candidates"))
+    boundary = fit_boundary(stage(ready.reference_rows, "reference-rows"))
+    return _rounded(add_label(ready.candidate_rows, boundary).drop("z"), "decision")
 
 
 def candidate_scores(spark: SparkSession, d: str) -> DataFrame:
