@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Vectors iterated beside the wanted axes: they take up what lies close behind these.
-SPARE = 8
+SPARE = 30
 # Rows multiplied at a time, and the part of the largest variance that may be missed.
 SLICE = 1_024
 TOLERANCE = 1e-12

@@ -21,7 +21,10 @@ from pyspark.sql import functions as F
 # Reference rows a fit uses at most: its kernel matrix has the square of that.
 FIT_ROWS = 1_000
 # Largest gap of optimality a fit may end with.
-TOLERANCE = 1e-9
+TOLERANCE = 1e-12
+# Rows on the boundary itself, such as copies of most fitted rows with a weight, score
+# zero but for rounding; within this they count as outside.
+EDGE = 1e-9
 # Rows whose kernel is worked out at a time.
 SLICE = 1_024
 
@@ -107,7 +110,8 @@ def fit_boundary(
 
 
 def add_label(rows: DataFrame, boundary: Boundary) -> DataFrame:
-    """Adds ``decision`` and ``anomaly_label`` (1 inside, -1 outside); narrow, no shuffle.
+    """Adds ``decision`` and ``anomaly_label`` (1 inside, -1 outside or
+    on the boundary); narrow, no shuffle.
 
     The boundary is broadcast: at most ``fit_rows`` rows, checked by the fit."""
     held = rows.sparkSession.sparkContext.broadcast(boundary)
@@ -119,5 +123,5 @@ def add_label(rows: DataFrame, boundary: Boundary) -> DataFrame:
         return pd.Series(np.concatenate([*parts, np.zeros(0)]))
 
     return rows.withColumn("decision", decision("z")).withColumn(
-        "anomaly_label", F.when(F.col("decision") > 0, F.lit(1)).otherwise(F.lit(-1))
+        "anomaly_label", F.when(F.col("decision") > EDGE, F.lit(1)).otherwise(F.lit(-1))
     )

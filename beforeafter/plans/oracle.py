@@ -93,6 +93,87 @@ _PER_SOURCE = """per_source AS (
 _SIDES = f"{_PANEL}, {_E_NAT}, {_AT_EVENT}, {_PER_SOURCE}"
 _COMMON = "common AS (SELECT indicator FROM at_event INTERSECT SELECT indicator FROM per_source)"
 
+_SIGNUPS = f"""{_P_EV}, {_E_USR},
+at_event AS (SELECT p.entity, event_at, indicator, value FROM p_ev p JOIN ev ON p.entity = ev.entity AND p.time = ev.event_at),
+per_source AS (SELECT entity || '@' || time AS entity, indicator, value FROM p_ev)"""
+
+
+def _scaled(sides: str) -> str:
+    """Signed logs, filled and scaled by the reference side: ``scaled`` (side, keys, indicator, z)."""
+    return f"""{sides}, {_COMMON},
+both_sides AS (
+  SELECT 'r' AS side, entity, event_at, indicator, sign(value) * ln(1 + abs(value)) AS x FROM at_event
+  UNION ALL SELECT 'c', entity, NULL, indicator, sign(value) * ln(1 + abs(value)) FROM per_source),
+keys AS (SELECT DISTINCT side, entity, event_at FROM both_sides),
+med AS (SELECT indicator, median(x) AS med FROM both_sides JOIN common USING (indicator) WHERE side = 'r' GROUP BY indicator),
+filled AS (
+  SELECT k.side, k.entity, k.event_at, m.indicator, coalesce(x, med) AS x
+  FROM keys k CROSS JOIN med m LEFT JOIN both_sides b
+    ON b.side = k.side AND b.entity = k.entity AND b.event_at IS NOT DISTINCT FROM k.event_at AND b.indicator = m.indicator),
+stats AS (SELECT indicator, avg(x) AS m, stddev_pop(x) AS s FROM filled WHERE side = 'r' GROUP BY indicator),
+scaled AS (SELECT side, entity, event_at, indicator, (x - m) / CASE WHEN s > 0 THEN s ELSE 1 END AS z
+           FROM filled JOIN stats USING (indicator)),
+zs AS (SELECT side, entity, event_at, list(z ORDER BY indicator) AS z FROM scaled GROUP BY side, entity, event_at)"""
+
+
+def _squared(m: str) -> str:
+    return f"list_transform({m}, lambda r: list_transform({m}, lambda c: list_dot_product(r, c)))"
+
+
+def _leading(name: str, start: str) -> str:
+    """Leading eigenvector of the symmetric matrix in ``start(m)`` by repeated squaring: each
+    squaring doubles the power, and the longest column of a high power is the vector."""
+    return f"""{name}_power AS (
+  SELECT 0 AS k, m FROM {start} UNION ALL
+  SELECT k + 1, list_transform(q, lambda r: list_transform(r, lambda x: x / scale)) FROM (
+    SELECT k, q, list_max(list_transform(q, lambda r: list_max(list_transform(r, lambda x: abs(x))))) AS scale
+    FROM (SELECT k, {_squared('m')} AS q FROM {name}_power WHERE k < 22))),
+{name}_column AS (SELECT unnest(m) AS v FROM {name}_power WHERE k = 22),
+{name}_unit AS (SELECT list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v
+                FROM {name}_column ORDER BY list_dot_product(v, v) DESC LIMIT 1),
+{name} AS (SELECT list_transform(v, lambda x: x * sign(v[list_position(list_transform(v, lambda y: round(abs(y), 12)),
+                  list_max(list_transform(v, lambda y: round(abs(y), 12))))])) AS v FROM {name}_unit)"""
+
+
+_AXES = f"""pairs AS (
+  SELECT a.indicator AS i, b.indicator AS j, covar_samp(a.z, b.z) AS c FROM scaled a
+  JOIN scaled b ON a.entity = b.entity AND a.event_at = b.event_at WHERE a.side = 'r' AND b.side = 'r' GROUP BY i, j),
+cov AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM pairs GROUP BY i)),
+{_leading('first', 'cov')},
+rest AS (SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - l * v[i] * v[j])) AS m
+         FROM (SELECT m, v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS l FROM cov, first)),
+{_leading('second', 'rest')},
+flat AS (SELECT side, entity, list_dot_product(z, f.v) AS axis_1, list_dot_product(z, s.v) AS axis_2 FROM zs, first f, second s),
+turn AS (SELECT CASE WHEN max(axis_1) FILTER (entity = 'NATION_1') < max(axis_1) FILTER (entity = 'NATION_2') THEN -1 ELSE 1 END AS t
+         FROM flat WHERE side = 'c'),
+placed AS (SELECT side, entity, t * axis_1 AS axis_1, axis_2 FROM flat, turn)"""
+
+# Weights of the shortest mean in the kernel's space: each step moves weight from the worst
+# place that has some to the best that has room, until they are 1e-12 apart.
+_BOUNDARY = """refs AS (SELECT row_number() OVER (ORDER BY entity, event_at) AS i, z FROM zs WHERE side = 'r'),
+size AS (SELECT count(*) AS n, 1.0 / (0.05 * count(*)) AS cap, 1.0 / max(len(z)) AS gamma FROM refs),
+gram AS (SELECT list(r ORDER BY i) AS g FROM (
+  SELECT a.i, list(exp(-gamma * list_distance(a.z, b.z) ** 2) ORDER BY b.i) AS r FROM refs a, refs b, size GROUP BY a.i)),
+descent AS (
+  SELECT 0 AS k, list_transform(g, lambda r: 1.0 / n) AS a, list_transform(g, lambda r: list_sum(r) / n) AS s, 1e0 AS gap FROM gram, size
+  UNION ALL
+  SELECT k + 1, list_transform(a, lambda x, p: x + CASE WHEN p = i THEN t WHEN p = j THEN -t ELSE 0 END),
+         list_transform(s, lambda x, p: x + t * (g[p][i] - g[p][j])), gap
+  FROM (SELECT *, least((s[j] - s[i]) / greatest(g[i][i] + g[j][j] - 2 * g[i][j], 1e-15), cap - a[i], a[j]) AS t, s[j] - s[i] AS gap
+        FROM (SELECT k, a, s, g, cap, list_position(up, list_min(up)) AS i, list_position(down, list_max(down)) AS j
+              FROM (SELECT k, a, s, g, cap,
+                           list_transform(s, lambda x, p: CASE WHEN a[p] < cap - 1e-14 THEN x ELSE 1e300 END) AS up,
+                           list_transform(s, lambda x, p: CASE WHEN a[p] > 1e-14 THEN x ELSE -1e300 END) AS down
+                    FROM descent, gram, size WHERE gap > 1e-12)))),
+fitted AS (SELECT a FROM descent ORDER BY k DESC LIMIT 1),
+own AS (SELECT i, a[i] AS w, list_dot_product(g[i], a) AS score FROM refs, fitted, gram),
+ends AS (SELECT avg(score) FILTER (w > cap * 1e-8 AND w < cap * (1 - 1e-8)) AS free,
+                max(score) FILTER (w >= cap * (1 - 1e-8)) AS top, min(score) FILTER (w <= cap * 1e-8) AS bottom FROM own, size),
+threshold AS (SELECT coalesce(free, (coalesce(top, bottom) + coalesce(bottom, top)) / 2) AS limit_at FROM ends),
+decided AS (
+  SELECT c.entity, sum(w * exp(-gamma * list_distance(c.z, r.z) ** 2)) - any_value(limit_at) AS decision
+  FROM (SELECT entity, z FROM zs WHERE side = 'c') c, refs r JOIN own USING (i), size, threshold GROUP BY c.entity)"""
+
 _GIVEN = f"""spent AS (SELECT o_custkey, sum({_cents('o_totalprice')}) AS c, count(*) AS n FROM orders GROUP BY o_custkey),
 custs AS (SELECT CAST(c_custkey AS VARCHAR) AS entity, c_nationkey, CAST(c AS DOUBLE) AS c, CAST(n AS DOUBLE) AS n,
           CASE WHEN c_acctbal < 0 THEN -1 ELSE 1 END AS anomaly_label FROM customer JOIN spent ON c_custkey = o_custkey),
@@ -189,19 +270,31 @@ SELECT entity, indicator, {r4('value')} AS value FROM per_source""",
     "snapshot_at_event": f"""WITH {_PANEL}, {_E_NAT}, {_AT_EVENT}
 SELECT entity, event_at, indicator, {r4('value')} AS value FROM at_event""",
     "common_indicators": f"WITH {_SIDES}, {_COMMON} SELECT indicator FROM common",
-    "signed_log_scaled": f"""WITH {_SIDES}, {_COMMON},
-both_sides AS (
-  SELECT 'r' AS side, entity, event_at, indicator, sign(value) * ln(1 + abs(value)) AS x FROM at_event
-  UNION ALL SELECT 'c', entity, NULL, indicator, sign(value) * ln(1 + abs(value)) FROM per_source),
-keys AS (SELECT DISTINCT side, entity, event_at FROM both_sides),
-med AS (SELECT indicator, median(x) AS med FROM both_sides JOIN common USING (indicator) WHERE side = 'r' GROUP BY indicator),
-filled AS (
-  SELECT k.side, k.entity, k.event_at, m.indicator, coalesce(x, med) AS x
-  FROM keys k CROSS JOIN med m LEFT JOIN both_sides b
-    ON b.side = k.side AND b.entity = k.entity AND b.event_at IS NOT DISTINCT FROM k.event_at AND b.indicator = m.indicator),
-stats AS (SELECT indicator, avg(x) AS m, stddev_pop(x) AS s FROM filled WHERE side = 'r' GROUP BY indicator)
-SELECT entity, event_at, indicator, {r4('(x - m) / CASE WHEN s > 0 THEN s ELSE 1 END')} AS scaled
-FROM filled JOIN stats USING (indicator)""",
+    "signed_log_scaled": f"""WITH {_scaled(_SIDES)}
+SELECT entity, event_at, indicator, {r4('z')} AS scaled FROM scaled""",
+    "pca_axes": f"""WITH RECURSIVE {_scaled(_SIDES)}, {_AXES}
+SELECT entity, {r4('axis_1')} AS axis_1, {r4('axis_2')} AS axis_2 FROM placed WHERE side = 'c'""",
+    "one_class_score": f"""WITH RECURSIVE {_scaled(_SIDES)}, {_BOUNDARY}
+SELECT entity, {r4('decision')} AS decision, CASE WHEN decision > 1e-9 THEN 1 ELSE -1 END AS anomaly_label FROM decided""",
+    "one_class_score_features": f"""WITH RECURSIVE {_scaled(_SIGNUPS)}, {_BOUNDARY}
+SELECT entity, {r4('decision')} AS decision, CASE WHEN decision > 1e-9 THEN 1 ELSE -1 END AS anomaly_label FROM decided""",
+    "candidate_scores": f"""WITH RECURSIVE {_scaled(_SIDES)}, {_AXES}, {_BOUNDARY},
+figures AS (SELECT avg(1.5 * axis_1 + axis_2) AS mid, min(1.5 * axis_1 + axis_2) AS lo, max(1.5 * axis_1 + axis_2) AS hi
+            FROM placed WHERE side = 'r'),
+raw AS (SELECT entity, 1.5 * axis_1 + axis_2 - mid AS x, lo - mid AS a, hi - mid AS b FROM placed, figures WHERE side = 'c'),
+complete AS (SELECT entity, count(DISTINCT indicator) FILTER (value IS NOT NULL AND indicator IN (SELECT indicator FROM common))
+                    / (SELECT count(*) FROM common) AS data_completeness FROM per_source GROUP BY entity)
+SELECT entity, CASE WHEN decision > 1e-9 THEN 1 ELSE -1 END AS anomaly_label, round(data_completeness, 4) AS data_completeness,
+       round(CASE WHEN x >= b THEN 95.0 WHEN x < a THEN 20.0 WHEN x >= 0 THEN 50.0 + 45.0 * x / b
+                  ELSE 20.0 + 30.0 * (x - a) / (0 - a) END, 2) AS readiness_score
+FROM raw JOIN decided USING (entity) JOIN complete USING (entity)""",
+    "infer_schema": """SELECT column_name AS name, CAST(row_number() OVER () - 1 AS INTEGER) AS position,
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE column_type END AS type,
+       (SELECT count(*) FROM lineitem) AS n_rows, n_values
+FROM (DESCRIBE lineitem) JOIN (
+  SELECT column_name, n_values FROM (SELECT count(COLUMNS(*)) FROM lineitem) UNPIVOT (n_values FOR column_name IN (COLUMNS(*))))
+  USING (column_name)""",
     "readiness_score": f"""WITH {_GIVEN},
 complete AS (SELECT CAST(o_custkey AS VARCHAR) AS entity, count(DISTINCT o_orderpriority) /
              (SELECT count(DISTINCT o_orderpriority) FROM orders) AS data_completeness FROM orders GROUP BY o_custkey)
