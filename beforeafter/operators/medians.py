@@ -12,7 +12,7 @@ _EDGES = 255
 
 
 def exact_median(
-    df: DataFrame, key: str = "indicator", value: str = "value", group_limit: int = 1_000_000
+    df: DataFrame, key: str = "indicator", value: str = "value", group_limit: int = 10_000
 ) -> DataFrame:
     """``key, median``: the mean of the two middle values if their number is even.
 

@@ -24,7 +24,7 @@ def reference_stats(
     reference: DataFrame,
     indicators: DataFrame,
     keys: Sequence[str] = EVENT_KEYS,
-    group_limit: int = 1_000_000,
+    group_limit: int = 10_000,
 ) -> DataFrame:
     """``indicator, median, mean, spread`` of the signed logs of reference rows.
 

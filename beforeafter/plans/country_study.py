@@ -19,10 +19,11 @@ from beforeafter.operators.windows import event_window_change
 from beforeafter.plans.features import training_features
 from beforeafter.plans.scoring import score_candidates
 from beforeafter.schema import EVENT_KEYS, OBSERVATIONS, SERIES_KEYS
-from beforeafter.sinks.publish import in_file_order, publish
+from beforeafter.sinks.publish import Layout, publish
 from beforeafter.sources import (
     between_times,
     catalogue_labels,
+    ingest_report,
     nested_observations,
     observations,
     require_input,
@@ -32,12 +33,15 @@ from beforeafter.sources import (
     unpivot_times,
     wanted_entities,
 )
+from beforeafter.sources.documents import nested_entries, read_documents
 from beforeafter.sources.panel import only_entities
 from beforeafter.staging import stage
 
 # Years of the wide source, and the countries that pin the first axis.
 YEARS = (1960, 2024)
 ANCHORS = ("USA", "ZWE")
+# Fixed value: fewer real economies mean that the catalogue's marks are wrong.
+MINIMUM_ECONOMIES = 50
 
 PANEL_NAMES = {"entity": "iso3", "indicator": "indicator_code", "time": "year"}
 FACT_NAMES = {
@@ -57,7 +61,7 @@ def ingest_wide(blocks: DataFrame, economies: DataFrame, years: tuple[int, int]
     """Wide blocks (``economy, series`` and one column per year) → observations of real
     economies (``id, aggregate, region``) in the given years."""
     long = between_times(unpivot_times(blocks), *years)
-    return only_entities(long, wanted_entities(economies)).select("entity", "indicator", "time", "value")
+    return only_entities(long, wanted_entities(economies, MINIMUM_ECONOMIES)).select("entity", "indicator", "time", "value")
 
 
 def ingest_nested(documents: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -84,6 +88,7 @@ class Study:
     window: tuple[int, int] = (-6, 6)
     anchors: tuple[str, str] = ANCHORS
     boundary: Mapping[str, object] = field(default_factory=dict)
+    wide: bool = True
 
     def panel(self) -> DataFrame:
         sides = []
@@ -95,9 +100,14 @@ class Study:
 
 
 def build(study: Study) -> dict[str, DataFrame]:
-    """All published tables by name. The panel is staged: every table reads it."""
+    """All published tables by name.
+
+    The panel is not written again: each table reads the landed files with its own
+    filter on time. The features come as one row per event and indicator, whatever
+    their number, and with ``wide`` as a matrix too.
+    """
     spark = study.wdi.sparkSession
-    panel = stage(study.panel(), "panel")
+    panel = study.panel()
     first, last = study.window
     fact = event_window_change(panel, study.hosts, first, last, baseline_keys=study.baseline_keys)
     features = training_features(panel, study.hosts, study.before)
@@ -108,13 +118,12 @@ def build(study: Study) -> dict[str, DataFrame]:
     if study.imf_labels is not None:
         named = study.imf_labels.join(names.select("code"), "code", "left_anti")
         names = names.unionByName(named)
-    fact = stage(fact, "fact")
+    fact, kept = stage(fact, "fact"), stage(features, "kept")
     indicators = dim_indicator(fact, [(study.series_labels, "WDI"), (names, "IMF")])
-    return {
-        "fact_host_event_window": in_file_order(
-            fact, ["entity", "event_at", "indicator", "offset"]
-        ).withColumnsRenamed(FACT_NAMES),
-        "training_features": wide_matrix(stage(features, "kept"), keys=EVENT_KEYS).withColumnsRenamed(FEATURE_NAMES),
+    matrix = {"training_features": wide_matrix(kept, keys=EVENT_KEYS).withColumnsRenamed(FEATURE_NAMES)} if study.wide else {}
+    return matrix | {
+        "fact_host_event_window": fact.withColumnsRenamed(FACT_NAMES),
+        "training_features_long": kept.withColumnsRenamed(FEATURE_NAMES),
         "country_scores": scored.scores.withColumnsRenamed(SCORE_NAMES),
         "dim_indicator": indicators.withColumnsRenamed(INDICATOR_NAMES),
         "dim_country": dim_entity(study.economies).withColumnsRenamed(COUNTRY_NAMES),
@@ -123,4 +132,31 @@ def build(study: Study) -> dict[str, DataFrame]:
 
 def run(spark: SparkSession, study: Study, root: str) -> DataFrame:
     """Build everything and publish it as one run; returns the manifest."""
-    return publish(spark, root, build(study), required=["fact_host_event_window", "country_scores"])
+    order = Layout(["source"], ["iso3", "host_year", "indicator_code", "event_time"])
+    return publish(
+        spark, root, build(study), ["fact_host_event_window", "country_scores"], {"fact_host_event_window": order}
+    )
+
+
+def land(
+    spark: SparkSession, blocks: str, documents: str, catalogue: str, economies: str, out: str
+) -> dict[str, DataFrame]:
+    """Ingest from paths and write what the study reads: ``wdi``, ``imf`` and
+    ``imf_labels`` under ``out``, with the panels' column names, and ``faults``, which
+    accounts for the nested values that did not fit.
+
+    ``blocks`` and ``economies`` are Parquet, ``documents`` and ``catalogue`` JSON.
+    """
+    imf_documents = read_documents(spark, documents)
+    imf, labels = ingest_nested(imf_documents, read_documents(spark, catalogue))
+    wdi = ingest_wide(spark.read.parquet(blocks), spark.read.parquet(economies))
+    faults = ingest_report(nested_entries(imf_documents), "entity", "indicator", "time", "value")
+    tables = {
+        "wdi": wdi.withColumnsRenamed(PANEL_NAMES),
+        "imf": imf.withColumnsRenamed(PANEL_NAMES),
+        "imf_labels": labels,
+        "faults": faults,
+    }
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+    return {name: spark.read.parquet(f"{out}/{name}") for name in tables}

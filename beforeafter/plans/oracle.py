@@ -338,6 +338,17 @@ FROM landed WHERE TRY_CAST(price AS DOUBLE) IS NULL OR TRY_CAST(lines AS INTEGER
   SELECT count(*) AS n FROM landed WHERE TRY_CAST(price AS DOUBLE) IS NOT NULL AND TRY_CAST(lines AS INTEGER) IS NOT NULL)
 SELECT n AS n_loaded, (SELECT count(*) FROM landed) - n AS n_rejected, 'note' AS missing, 'status' AS extra, n AS n_read
 FROM good""",
+    "ingest_faults": f"""WITH {_LANDED}, faults AS (
+  SELECT CASE WHEN order_id IS NULL OR status IS NULL THEN 'key' WHEN TRY_CAST(lines AS INTEGER) IS NULL THEN 'time'
+              WHEN price IS NULL THEN 'none' WHEN TRY_CAST(price AS DOUBLE) IS NULL THEN 'bad'
+              WHEN NOT isfinite(TRY_CAST(price AS DOUBLE)) THEN 'infinite' ELSE 'usable' END AS f FROM landed)
+SELECT count(*) AS n_rows, count_if(f = 'usable') AS n_usable, count_if(f = 'key') AS n_no_key, count_if(f = 'time') AS n_bad_time,
+       count_if(f = 'none') AS n_no_value, count_if(f = 'bad') AS n_bad_value, count_if(f = 'infinite') AS n_not_finite FROM faults""",
+    "event_fault_rows": f"""WITH {_LANDED}
+SELECT CASE WHEN order_id IS NULL THEN 'no entity' WHEN lines IS NULL THEN 'no time' ELSE 'bad time' END AS rejected, count(*) AS n_rows
+FROM landed WHERE order_id IS NULL OR TRY_CAST(lines AS INTEGER) IS NULL GROUP BY 1""",
+    "fact_in_file_order": f"""WITH {_PANEL}, {_E_NAT}, {_window('panel')}
+SELECT count(*) AS n_rows, 0 AS n_behind FROM win""",
     "input_report_orders": """
 SELECT 'orders' AS input, 'O_ORDERKEY' AS name, true AS present, true AS type_ok, count(*) AS n_rows, count(o_orderkey) AS n_values FROM orders
 UNION ALL SELECT 'orders', 'o_totalprice', true, true, count(*), count(o_totalprice) FROM orders

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,10 +24,12 @@ from beforeafter.plans.supplied import (
     table,
     total,
 )
-from beforeafter.sinks import conform, load, publish
+from beforeafter.sinks import conform, load, loaded, publish, write_sorted
 from beforeafter.sources import (
     between_times,
     catalogue_labels,
+    event_rejects,
+    ingest_report,
     input_report,
     nested_observations,
     profile,
@@ -129,11 +131,11 @@ def entity_filter_fallback(spark: SparkSession, d: str) -> DataFrame:
     )
     buyers = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("entity"), "o_totalprice")
     bought = (
-        only_entities(buyers, wanted_entities(customers))
+        only_entities(buyers, wanted_entities(customers, 50))
         .groupBy(F.col("entity").alias("id"))
         .agg(F.count(F.lit(1)).alias("n"), total(F.col("o_totalprice")).alias("spent"))
     )
-    none = wanted_entities(nations).select("id", F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("spent"))
+    none = wanted_entities(nations, 50).select("id", F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("spent"))
     return bought.unionByName(none)
 
 
@@ -439,9 +441,9 @@ def rejected_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def load_report(spark: SparkSession, d: str) -> DataFrame:
-    path = f"{run_dir(spark)}/loaded-orders"
-    report = load(_landed_orders(spark, d), _ORDER_TARGET, path)
-    back = spark.read.schema(_ORDER_TARGET).parquet(path).agg(F.count(F.lit(1)).alias("n_read"))
+    root = f"{run_dir(spark)}/loaded-orders"
+    report = load(_landed_orders(spark, d), _ORDER_TARGET, root)
+    back = loaded(spark, root, _ORDER_TARGET).agg(F.count(F.lit(1)).alias("n_read"))
     return report.select(
         "n_loaded",
         "n_rejected",
@@ -451,6 +453,32 @@ def load_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def ingest_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Every landed order accounted for, its line count read as the time."""
+    return ingest_report(_landed_orders(spark, d), "ORDER_ID", "status", "lines", "price")
+
+
+def event_fault_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Landed orders that are no events, by reason."""
+    rejects = event_rejects(_landed_orders(spark, d), "ORDER_ID", "lines")
+    return rejects.groupBy("rejected").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def fact_in_file_order(spark: SparkSession, d: str) -> DataFrame:
+    """The fact written in folders by source and in key order: rows, and rows that lie
+    behind a greater key of their file."""
+    keys = ["entity", "event_at", "indicator", "offset"]
+    path = f"{run_dir(spark)}/sorted-fact"
+    write_sorted(_change(spark, d), path, keys, ["source"])
+    back = spark.read.parquet(path).select(
+        F.input_file_name().alias("file"), F.struct(*keys).alias("key"), F.monotonically_increasing_id().alias("at")
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    return back.select((before > F.col("key")).alias("behind")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("behind").alias("n_behind")
+    )
+
+
 def infer_schema(spark: SparkSession, d: str) -> DataFrame:
     path = f"{d}/lineitem.parquet"
     found = read_matching(spark, path, glob="*.parquet", regex="lineitem")
@@ -519,6 +547,9 @@ QUERIES = {
         conform_rows,
         rejected_rows,
         load_report,
+        ingest_faults,
+        event_fault_rows,
+        fact_in_file_order,
         infer_schema,
         input_report_orders,
         publish_manifest,

@@ -30,17 +30,6 @@ OBSERVATIONS = T.StructType(
     ]
 )
 
-# Events file with a header row.
-EVENTS_CSV = T.StructType(
-    [
-        T.StructField("iso3", T.StringType()),
-        T.StructField("country_name", T.StringType()),
-        T.StructField("year", T.IntegerType()),
-        T.StructField("co_hosted", T.StringType()),
-        T.StructField("notes", T.StringType()),
-    ]
-)
-
 LABELS = T.StructType(
     [
         T.StructField("indicator", T.StringType(), False),

@@ -13,7 +13,10 @@ from beforeafter.sources.panel import (
     drop_valueless,
     observations,
     profile,
+    event_rejects,
+    ingest_report,
     read_events,
+    read_events_text,
     resolve_duplicates,
     tag_source,
     three_capitals,
@@ -31,7 +34,10 @@ __all__ = [
     "nested_observations",
     "observations",
     "profile",
+    "event_rejects",
+    "ingest_report",
     "read_events",
+    "read_events_text",
     "read_matching",
     "require_input",
     "resolve_duplicates",

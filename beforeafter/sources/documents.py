@@ -25,20 +25,23 @@ def _entries(df: DataFrame, node: str, key: str, value: str) -> DataFrame:
     )
 
 
-def nested_observations(documents: DataFrame, document: str = "document", root: str = "values") -> DataFrame:
-    """``{root: {indicator: {entity: {time: value}}}}`` → observations.
-
-    Entries of another shape, and times or values that are no numbers, are left out.
-    """
+def nested_entries(documents: DataFrame, document: str = "document", root: str = "values") -> DataFrame:
+    """``{root: {indicator: {entity: {time: value}}}}`` → one row per value, time and
+    value still as text; numbers that are not finite and nulls stay, for ``ingest_report``."""
     top = documents.select(F.try_variant_get(F.try_parse_json(document), f"$.{root}", "variant").alias("tree"))
     by_indicator = _entries(top, "tree", "indicator", "entities")
     by_entity = _entries(by_indicator, "entities", "entity", "times")
-    by_time = _entries(by_entity, "times", "t", "v")
-    return by_time.select(
+    by_time = _entries(by_entity, "times", "time", "v")
+    return by_time.select("entity", "indicator", "time", F.try_variant_get("v", "$", "string").alias("value"))
+
+
+def nested_observations(documents: DataFrame, document: str = "document", root: str = "values") -> DataFrame:
+    """``nested_entries`` as observations; times or values that are no numbers are left out."""
+    return nested_entries(documents, document, root).select(
         "entity",
         "indicator",
-        F.col("t").try_cast("int").alias("time"),
-        clean_number(F.try_variant_get("v", "$", "double")).alias("value"),
+        F.col("time").try_cast("int").alias("time"),
+        clean_number(F.col("value")).alias("value"),
     ).dropna(subset=["time", "value"])
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beforeafter.functions import clean_number, quoted
-from beforeafter.schema import EVENTS_CSV, PANEL_COLUMNS, PANEL_KEYS
+from beforeafter.schema import PANEL_COLUMNS, PANEL_KEYS
 from beforeafter.staging import broadcast_if_small
 
 
@@ -114,15 +114,18 @@ def three_capitals(code: Column) -> Column:
     return code.rlike(r"\A[A-Z]{3}\z")
 
 
-def wanted_entities(catalogue: DataFrame, minimum: int = 50) -> DataFrame:
+def wanted_entities(catalogue: DataFrame, minimum: int | None = None) -> DataFrame:
     """Real entities of a catalogue with ``id, aggregate, region``.
 
-    Kept if marked as no aggregate or if it has a region; if fewer than
-    ``minimum`` remain the filter is judged wrong and all are kept.
+    Kept if marked as no aggregate or if it has a region. With a ``minimum``, a filter
+    that leaves fewer is judged wrong and all are kept; ``fallback`` tells on every row
+    whether that happened.
     """
     real = F.coalesce(~F.col("aggregate"), F.lit(False)) | (F.coalesce("region", F.lit("")) != "")
-    kept = catalogue.agg(F.count_if(real).alias("n")).scalar()
-    return catalogue.filter(real | (kept < minimum))
+    if minimum is None:
+        return catalogue.filter(real).withColumn("fallback", F.lit(False))
+    fallback = catalogue.agg(F.count_if(real).alias("n")).scalar() < minimum
+    return catalogue.withColumn("fallback", fallback).filter(real | F.col("fallback"))
 
 
 def only_entities(panel: DataFrame, entities: DataFrame, column: str = "id") -> DataFrame:
@@ -131,24 +134,71 @@ def only_entities(panel: DataFrame, entities: DataFrame, column: str = "id") ->
     return panel.join(broadcast_if_small(ids), "entity", "left_semi")
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Events from a CSV with header, fixed schema, one row per (entity, time)."""
-    raw = spark.read.schema(EVENTS_CSV).csv(path, header=True)
-    return events_from(raw, "iso3", "year")
+def read_events(spark: SparkSession, path: str, entity: str = "iso3", event_at: str = "year") -> DataFrame:
+    """One row per (entity, time) of a CSV with a header; see ``events_from``."""
+    return events_from(read_events_text(spark, path, entity, event_at), entity, event_at)
+
+
+def read_events_text(spark: SparkSession, path: str, entity: str = "iso3", event_at: str = "year") -> DataFrame:
+    """All columns of an events CSV as text, found by the names in its header, in any
+    order. Files whose headers differ, or without the two columns, are an error."""
+    raw = spark.read.csv(path, header=True, enforceSchema=False)
+    missing = [c for c in (entity, event_at) if c not in raw.columns]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}, only {', '.join(raw.columns)}")
+    return raw
+
+
+def _event_fault(entity: Column, event_at: Column) -> Column:
+    return (
+        F.when(entity.isNull(), "no entity")
+        .when(event_at.isNull(), "no time")
+        .when(event_at.try_cast("int").isNull(), "bad time")
+    )
 
 
 def events_from(df: DataFrame, entity: str, event_at: str) -> DataFrame:
-    """Any table as events: two columns, cast and deduplicated."""
+    """Any table as events: two columns, cast and deduplicated, without the rows that
+    ``event_rejects`` lists."""
     return (
-        df.select(
+        df.filter(_event_fault(quoted(entity), quoted(event_at)).isNull())
+        .select(
             quoted(entity).cast("string").alias("entity"),
-            quoted(event_at).cast("int").alias("event_at"),
+            quoted(event_at).try_cast("int").alias("event_at"),
         )
-        .dropna()
         .dropDuplicates(["entity", "event_at"])
     )
 
 
+def event_rejects(df: DataFrame, entity: str, event_at: str) -> DataFrame:
+    """The rows that are no events, with the reason in ``rejected``."""
+    fault = _event_fault(quoted(entity), quoted(event_at))
+    return df.filter(fault.isNotNull()).withColumn("rejected", fault)
+
+
+def ingest_report(
+    df: DataFrame, entity: str = "iso3", indicator: str = "indicator_code", time: str = "year", value: str = "value"
+) -> DataFrame:
+    """One row that accounts for every landed observation: rows, rows with a usable
+    value, and the others by their first fault. ``observations`` keeps rows with faults
+    and sets the faulty time or value to NULL; ``drop_valueless`` then drops them."""
+    t, v = quoted(time), quoted(value)
+    number = v.try_cast("double")
+    fault = (
+        F.when(quoted(entity).isNull() | quoted(indicator).isNull(), "no_key")
+        .when(t.try_cast("int").isNull(), "bad_time")
+        .when(v.isNull(), "no_value")
+        .when(number.isNull(), "bad_value")
+        .when(clean_number(v).isNull(), "not_finite")
+    )
+    faults = ("no_key", "bad_time", "no_value", "bad_value", "not_finite")
+    return df.select(fault.alias("fault")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("fault").isNull()).alias("n_usable"),
+        *[F.count_if(F.col("fault") == f).alias(f"n_{f}") for f in faults],
+    )
+
+
 def profile(panel: DataFrame, by: str | None = None, approximate: bool = False) -> DataFrame:
     """Rows, distinct indicators and entities, time span and valueless rows, in one pass."""
     distinct = F.approx_count_distinct if approximate else F.count_distinct

@@ -3,7 +3,7 @@ import json
 import numpy as np
 import pytest
 
-from beforeafter.plans.country_study import Study, build, ingest_nested, ingest_wide, run
+from beforeafter.plans.country_study import Study, build, ingest_nested, ingest_wide, land, run
 from beforeafter.sinks import published
 from beforeafter.sources import read_events
 from beforeafter.sources.documents import read_documents
@@ -60,7 +60,7 @@ def test_run_publishes_all_tables(spark, study, tmp_path):
     assert manifest["fact_host_event_window"] == sum(
         5 * sum(1 for o in range(-6, 7) if r.event_at + o in YEARS) for r in study.hosts.collect()
     )
-    assert manifest["training_features"] == n_hosts and manifest["country_scores"] == 60
+    assert manifest["training_features"] == n_hosts and manifest["training_features_long"] >= n_hosts and manifest["country_scores"] == 60
     fact = published(spark, str(tmp_path), "fact_host_event_window")
     assert fact.columns == [
         "iso3", "host_year", "event_time", "calendar_year", "indicator_code", "source", "value", "baseline_value", "pct_change",
@@ -82,3 +82,15 @@ def test_run_publishes_all_tables(spark, study, tmp_path):
 def test_empty_source_stops_the_run(study):
     with pytest.raises(ValueError, match="IMF"):
         build(Study(study.wdi, study.imf.limit(0), study.hosts, study.economies, study.series_labels))
+
+
+def test_land_writes_panels_labels_and_faults(spark, tmp_path):
+    (tmp_path / "docs").mkdir()
+    (tmp_path / "docs" / "a.json").write_text(json.dumps({"values": {"LUR": {"USA": {"2000": 1.5, "2001": "x", "y": 2, "2002": None}}}}))
+    (tmp_path / "catalogue.json").write_text(json.dumps({"indicators": {"LUR": {"label": "Unemployed"}}}))
+    spark.createDataFrame([("USA", "S", 1.0, None)], "economy string, series string, YR1999 double, YR2000 double").write.parquet(str(tmp_path / "blocks"))
+    spark.createDataFrame([("USA", False, "R")], "id string, aggregate boolean, region string").write.parquet(str(tmp_path / "economies"))
+    out = land(spark, *(str(tmp_path / n) for n in ("blocks", "docs", "catalogue.json", "economies", "out")))
+    assert [tuple(r) for r in out["wdi"].collect()] == [("USA", "S", 1999, 1.0)] and out["wdi"].columns[0] == "iso3"
+    assert [r["value"] for r in out["imf"].collect()] == [1.5] and out["imf_labels"].first()[:] == ("LUR", "Unemployed")
+    assert out["faults"].first()[:] == (4, 1, 0, 1, 1, 1, 0)

@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 from beforeafter.operators.dimensions import KNOWN_NAMES, dim_entity, dim_indicator, known_names
 from beforeafter.operators.reports import over_event_time, score_by_region, top_ranked
-from beforeafter.sinks import conform, load, publish, published, write_sorted
+from beforeafter.sinks import Layout, conform, load, load_rejects, loaded, publish, published, write_sorted
 from beforeafter.sinks.publish import PublishFailed, live_run
 from beforeafter.staging import broadcast_if_small, measured_bytes, stage, stage_side
 
@@ -30,12 +30,53 @@ def test_conform_lists_missing_and_extra(spark, rows):
         conform(spark.sql("SELECT 1 AS a, 2 AS b").toDF("x.Y", "X.y"), TARGET)
 
 
-def test_load_replaces_the_table_and_counts(spark, tmp_path):
-    path = str(tmp_path / "scores")
+def test_load_replaces_the_table_and_counts(spark, tmp_path, rows):
+    root = str(tmp_path / "scores")
     first = spark.createDataFrame([("USA", "2000"), ("FRA", "x")], "ISO3 string, year string")
-    assert load(first, TARGET, path).first()[:] == (1, 1, ["score", "note"], [])
-    assert load(first.limit(1), TARGET, path).first()[:2] == (1, 0)
-    assert spark.read.parquet(path).count() == 1 and spark.read.parquet(path + "_rejected").count() == 0
+    assert loaded(spark, root, TARGET).count() == 0
+    assert load(first, TARGET, root).first()[:] == (1, 1, ["score", "note"], [])
+    assert rows(load_rejects(spark, root, first.schema)) == [("FRA", "x", ["year"])]
+    assert load(first.limit(1), TARGET, root).first()[:2] == (1, 0)
+    assert rows(loaded(spark, root, TARGET), "iso3", "year") == [("USA", 2000)]
+    assert load_rejects(spark, root, first.schema).count() == 0
+
+
+def test_a_failed_load_keeps_the_former_table(spark, tmp_path, rows):
+    root = str(tmp_path / "scores")
+    good = spark.createDataFrame([("USA", "2000"), ("FRA", "x")], "ISO3 string, year string")
+    load(good, TARGET, root)
+    broken = good.withColumn("year", F.raise_error(F.lit("source lost")).cast("string"))
+    with pytest.raises(Exception, match="source lost"):
+        load(broken, TARGET, root)
+    assert rows(loaded(spark, root, TARGET), "iso3") == [("USA",)] and load_rejects(spark, root, good.schema).count() == 1
+
+
+def test_load_reads_its_source_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = spark.createDataFrame([(str(i), str(i)) for i in range(40)], "ISO3 string, year string")
+    load(df.withColumn("ISO3", counted("ISO3")), TARGET, str(tmp_path / "once"))
+    assert seen.value == 40
+
+
+def test_publish_in_folders_and_order(spark, tmp_path):
+    root = str(tmp_path / "laid")
+    df = spark.range(1000).select(
+        (F.col("id") % 3).cast("string").alias("part"), (F.hash("id") % 97).alias("key"), F.col("id").alias("value")
+    )
+    publish(spark, root, {"t": df}, ["t"], {"t": Layout(["part"], ["key"])})
+    back = published(spark, root, "t")
+    assert back.columns == df.columns and sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    path = live_run(spark, root).first()["path"]
+    assert {f.name for f in __import__("pathlib").Path(path).iterdir() if f.is_dir()} == {"part=0", "part=1", "part=2"}
+    for file in __import__("pathlib").Path(path).rglob("*.parquet"):
+        keys = [r["key"] for r in spark.read.parquet(str(file)).collect()]
+        assert keys == sorted(keys)
 
 
 def test_lookup_ladder(spark, rows):

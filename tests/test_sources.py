@@ -8,11 +8,14 @@ from beforeafter.schema import OBSERVATIONS
 from beforeafter.sources import (
     EmptyInput,
     catalogue_labels,
+    event_rejects,
+    ingest_report,
     input_report,
     nested_observations,
     observations,
     profile,
     read_events,
+    read_events_text,
     read_matching,
     require_input,
     resolve_duplicates,
@@ -109,7 +112,9 @@ def test_entity_filter_falls_back_below_fifty(spark, survivors, kept):
     rows = [(f"r{i}", False, None) for i in range(survivors - 1)] + [("agg", True, "Europe")]
     rows += [(f"a{i}", True, "" if i % 2 else None) for i in range(60 - survivors)]
     df = spark.createDataFrame(rows, "id string, aggregate boolean, region string")
-    assert wanted_entities(df).count() == kept
+    out = wanted_entities(df, 50).collect()
+    assert len(out) == kept and {r["fallback"] for r in out} == {survivors < 50}
+    assert wanted_entities(df).count() == survivors
 
 
 def test_events_from_csv_are_unique(spark, rows, tmp_path):
@@ -118,6 +123,34 @@ def test_events_from_csv_are_unique(spark, rows, tmp_path):
     assert rows(read_events(spark, str(path))) == [("JPN", 2002), ("KOR", 2002)]
 
 
+def test_events_are_found_by_header_and_rejects_told(spark, rows, tmp_path):
+    path = tmp_path / "events.csv"
+    path.write_text("notes,year,iso3\n,2002,KOR\n,'06,DEU\n,,FRA\n,2010,\nx,2002,KOR\n")
+    assert rows(read_events(spark, str(path))) == [("KOR", 2002)]
+    text = read_events_text(spark, str(path))
+    assert rows(event_rejects(text, "iso3", "year"), "iso3", "rejected") == [("DEU", "bad time"), ("FRA", "no time"), (None, "no entity")]
+    other = tmp_path / "other.csv"
+    other.write_text("place,host_year\nBRA,2014\n")
+    assert rows(read_events(spark, str(other), "place", "host_year")) == [("BRA", 2014)]
+    with pytest.raises(ValueError, match="no column iso3, year"):
+        read_events(spark, str(other))
+
+
+def test_files_with_unlike_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("iso3,year\n" + "KOR,2002\n" * 3)
+    (tmp_path / "b.csv").write_text("year,iso3\n2006,DEU\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_events(spark, str(tmp_path)).collect()
+
+
+def test_every_landed_row_is_accounted_for(spark):
+    df = spark.createDataFrame(
+        [("USA", "A", "2000", "1"), (None, "A", "2000", "1"), ("USA", "A", "x", "1"), ("USA", "A", "2000", None), ("USA", "A", "2000", "?"), ("USA", "A", "2000", "NaN"), ("USA", "A", "2000", "-Infinity")],
+        "iso3 string, indicator_code string, year string, value string",
+    )
+    assert ingest_report(df).first()[:] == (7, 1, 1, 1, 1, 1, 2)
+
+
 def test_profile_counts(spark):
     panel = spark.createDataFrame([("A", "e", "i", 3, 1.0), ("A", "f", "i", 5, None), ("B", "e", "j", 4, 1.0)], PANEL)
     assert profile(panel).first().asDict() == {
