@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -119,6 +120,26 @@ def ball_masks(distance: int) -> tuple[list[int], list[int]]:
     return near, [f for part in (range(half), range(half, BITS)) for f in _flips(list(part), distance // 2 + 1)]
 
 
+def _meeting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Fingerprints of rows, sorted by key, that share their key with a neighbour.
+
+    Reads a partition as a stream, so that a key of any size takes no more memory."""
+    last_key, last_fp = None, None
+    for batch in batches:
+        key, fp = batch["key"].to_numpy(), batch["fp"].to_numpy()
+        if not len(key):
+            continue
+        same = key[1:] == key[:-1]
+        hit = np.zeros(len(key), dtype=bool)
+        hit[1:] |= same
+        hit[:-1] |= same
+        found = [fp[hit]]
+        if last_key is not None and key[0] == last_key:
+            found.append(np.array([last_fp, fp[0]]))
+        last_key, last_fp = key[-1], fp[-1]
+        yield pd.DataFrame({"fp": np.unique(np.concatenate(found))})
+
+
 def linked(fps: DataFrame, distance: int) -> DataFrame:
     """Links ``a``, ``b`` that connect distinct fingerprints (column ``fp``) exactly as
     all pairs at most ``distance`` bits apart do, without listing those pairs.
@@ -131,10 +152,9 @@ def linked(fps: DataFrame, distance: int) -> DataFrame:
     near one, so the work grows with the fingerprints, not with pairs in a group.
     """
     fp = F.col("fp")
-    rows = fps.select(fp, F.explode(_variants(fp, kept_bit_masks(distance))).alias("key")).repartition("key")
-    shared = rows.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo != hi")
-    # Merge joins: the planner takes an explode for no larger than its input.
-    close = stage(rows.join(shared.select("key").hint("merge"), "key", "left_semi").select("fp").distinct(), "simhash-close")
+    rows = fps.select(fp, F.explode(_variants(fp, kept_bit_masks(distance))).alias("key"))
+    met = rows.repartition("key").sortWithinPartitions("key").mapInPandas(_meeting, "fp long")
+    close = stage(met.distinct(), "simhash-close")
 
     near, far = ball_masks(distance)
     whole = (1 << BITS) - 1
@@ -146,6 +166,7 @@ def linked(fps: DataFrame, distance: int) -> DataFrame:
             odd.select(fp, F.explode(_variants(fp, [(f, whole, 0) for f in far])).alias("key"), F.lit(False).alias("near"))
         )
     hubs = near_rows.groupBy("key").agg(F.min("fp").alias("hub"))
+    # A merge join: the planner takes an explode for no larger than its input.
     met = rows.join(hubs.hint("merge"), "key").filter((fp != F.col("hub")) & (F.bit_count(fp.bitwiseXOR(F.col("hub"))) <= distance))
     return met.select(fp.alias("a"), F.col("hub").alias("b")).distinct()
 
