@@ -65,6 +65,8 @@ class PerfectHash:
 #: is forgotten is worked out anew.
 REMEMBERED = 1 << 19
 REMEMBERED_LENGTH = 48
+#: Rows of a batch whose ids or bytes are gathered at a time.
+SLICE = 1_024
 
 
 class Tokenizer:
@@ -171,7 +173,8 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", name:
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield _lists([held.value.encode(t.as_py()) for t in texts])
+            for at in range(0, len(texts), SLICE):
+                yield _lists([held.value.encode(t) for t in texts.slice(at, SLICE).to_pylist()])
 
     return df.withColumn(name, ids(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
 
@@ -188,8 +191,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", name: s
             flat, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
             if len(flat) and flat.min() < 0:
                 raise ValueError("negative token id")
-            # Row by row: a batch's ids as Python objects would take ten times its size.
-            rows = (b"".join(map(of, flat[a:b].tolist())) for a, b in zip(at, at[1:]))
-            yield pa.array((r if ok else None for ok, r in zip(lists.is_valid().to_pylist(), rows)), pa.binary())
+            known = lists.is_valid().to_pylist()
+            for first in range(0, len(lists), SLICE):
+                # Row by row: a batch's ids as Python objects would take ten times its size.
+                last = min(first + SLICE, len(lists))
+                rows = [b"".join(map(of, flat[at[i] : at[i + 1]].tolist())) if known[i] else None for i in range(first, last)]
+                yield pa.array(rows, pa.binary())
 
     return df.withColumn(name, text(F.col(f"`{ids_col}`")))
