@@ -1,13 +1,16 @@
 """Pairwise correlation of indicators over (entity, event) rows, and the filter on it.
 
 The pairs of one row are never listed. Rows and indicators are hashed into
-blocks; for each pair of indicator blocks a task multiplies two small matrices,
-so a block of rows yields one partial sum per indicator pair, and the partial
-sums are added up by a plain aggregate.
+blocks; for each pair of indicator blocks a task multiplies two small matrices per
+block of rows and adds the products up, so that it hands on one partial sum per
+indicator pair, however many blocks of rows it read. A plain aggregate adds up the
+partial sums of the few tasks that share a pair of blocks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -57,29 +60,66 @@ def _matrix(cells: pd.DataFrame, rows: np.ndarray, n_rows: int) -> tuple[np.ndar
     return codes, z, seen
 
 
-def _block_moments(cells: pd.DataFrame) -> pd.DataFrame:
-    """Moments of every indicator pair between the two blocks of one group of rows."""
-    entity, _ = pd.factorize(cells["entity"])
-    at, ats = pd.factorize(cells["event_at"])
-    rows, names = pd.factorize(entity.astype(np.int64) * len(ats) + at)
-    left = (cells["side"] == cells["bi"]).to_numpy()
-    right = (cells["side"] == cells["bj"]).to_numpy()
-    codes_a, za, ma = _matrix(cells[left], rows[left], len(names))
-    codes_b, zb, mb = _matrix(cells[right], rows[right], len(names))
-    moments = {
-        "n": ma.T @ mb,
-        "sa": za.T @ mb,
-        "sb": ma.T @ zb,
-        "saa": (za * za).T @ mb,
-        "sbb": ma.T @ (zb * zb),
-        "sab": za.T @ zb,
-    }
-    a = np.repeat(codes_a, len(codes_b))
-    b = np.tile(codes_b, len(codes_a))
-    out = pd.DataFrame({"a": a, "b": b, **{k: v.ravel() for k, v in moments.items()}})
-    if cells["bi"].iat[0] == cells["bj"].iat[0]:
-        return out[(out["a"] < out["b"]) & (out["n"] > 0)]
-    return _ordered(out[out["n"] > 0])
+class _Sums:
+    """Moments of every indicator pair between two blocks, added up over blocks of rows."""
+
+    def __init__(self) -> None:
+        self.places: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        self.total = np.zeros((len(_MOMENTS), 0, 0))
+
+    def add(self, cells: pd.DataFrame) -> None:
+        """One block of rows, whole."""
+        entity, _ = pd.factorize(cells["entity"])
+        at, ats = pd.factorize(cells["event_at"])
+        rows, names = pd.factorize(entity.astype(np.int64) * len(ats) + at)
+        left = (cells["side"] == cells["bi"]).to_numpy()
+        right = (cells["side"] == cells["bj"]).to_numpy()
+        codes_a, za, ma = _matrix(cells[left], rows[left], len(names))
+        codes_b, zb, mb = _matrix(cells[right], rows[right], len(names))
+        a, b = ([p.setdefault(c, len(p)) for c in codes] for p, codes in zip(self.places, (codes_a, codes_b)))
+        known = self.total
+        self.total = np.zeros((len(_MOMENTS), *map(len, self.places)))
+        self.total[:, : known.shape[1], : known.shape[2]] = known
+        products = (ma.T @ mb, za.T @ mb, ma.T @ zb, (za * za).T @ mb, ma.T @ (zb * zb), za.T @ zb)
+        for total, product in zip(self.total, products):
+            total[np.ix_(a, b)] += product
+
+    def pairs(self, same: bool) -> pd.DataFrame:
+        codes_a, codes_b = (np.array(list(p), dtype=object) for p in self.places)
+        out = pd.DataFrame(
+            {
+                "a": np.repeat(codes_a, len(codes_b)),
+                "b": np.tile(codes_b, len(codes_a)),
+                **{m: t.ravel() for m, t in zip(_MOMENTS, self.total)},
+            }
+        )
+        return out[(out["a"] < out["b"]) & (out["n"] > 0)] if same else _ordered(out[out["n"] > 0])
+
+
+def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pair sums of rows that come sorted by ``bi, bj, salt, rb``; holds one block of rows
+    and the sums of one pair of blocks at a time."""
+    block: list[pd.DataFrame] = []
+    key: tuple | None = None
+    sums = _Sums()
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = batch[["bi", "bj", "salt", "rb"]].to_numpy()
+        starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(batch)]
+        for first, last in zip(starts, starts[1:]):
+            now = tuple(keys[first])
+            if key is not None and now != key:
+                sums.add(pd.concat(block))
+                block = []
+                if now[:3] != key[:3]:
+                    yield sums.pairs(key[0] == key[1])
+                    sums = _Sums()
+            key = now
+            block.append(batch.iloc[first:last])
+    if block:
+        sums.add(pd.concat(block))
+        yield sums.pairs(key[0] == key[1])
 
 
 def _ordered(pairs: pd.DataFrame) -> pd.DataFrame:
@@ -120,13 +160,11 @@ def correlation_pairs(
         .withColumn("bj", F.greatest("side", "other"))
         .drop("other")
     )
-    # Blocks are small for the work they take, and adaptive execution would merge them
-    # by size, so the number of tasks is given: all cores busy, and several blocks of
-    # rows in a task where there are many, as a task adds up its own partial sums.
-    n_groups = n_rb * n_cb * (n_cb + 1) // 2
-    n_tasks = min(n_groups, max(int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_rb // 16))
-    blocks = placed.repartition(n_tasks, "rb", "bi", "bj").groupBy("rb", "bi", "bj")
-    partial = blocks.applyInPandas(_block_moments, _PARTIAL)
+    # As many tasks as the session wants, several to a pair of blocks where these are few.
+    n_tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = min(n_rb, -(-2 * n_tasks // (n_cb * (n_cb + 1))))
+    blocks = placed.withColumn("salt", F.pmod("rb", F.lit(salts))).repartition(n_tasks, "bi", "bj", "salt")
+    partial = blocks.sortWithinPartitions("bi", "bj", "salt", "rb").mapInPandas(_summed, _PARTIAL)
     sums = partial.groupBy("a", "b").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
     var_a = F.col("n") * F.col("saa") - F.col("sa") * F.col("sa")
     var_b = F.col("n") * F.col("sbb") - F.col("sb") * F.col("sb")

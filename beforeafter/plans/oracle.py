@@ -262,7 +262,7 @@ SELECT entity, event_at, """
     "correlation_pairs": f"WITH {_PAIRS} SELECT a, b, n_rows, {r4('r')} AS r FROM pairs",
     "correlation_kept": f"""WITH {_PAIRS}
 SELECT entity, event_at, indicator, {r4('avg_value')} AS avg_value, n_values FROM dense
-WHERE indicator NOT IN (SELECT b FROM pairs WHERE abs(r) > 0.9 + 1e-12)""",
+WHERE indicator NOT IN (SELECT b FROM pairs WHERE abs(r) > 0.9)""",
     "snapshot_latest": f"""WITH {_PANEL}
 SELECT entity, indicator, {r4('value')} AS value FROM panel WHERE time = (SELECT max(time) FROM panel)""",
     "snapshot_latest_per_source": f"""WITH {_PANEL}, {_PER_SOURCE}

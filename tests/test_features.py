@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from beforeafter.operators.correlation import correlated_later, correlation_pairs
+from beforeafter.operators.correlation import _summed, correlated_later, correlation_pairs
 from beforeafter.operators.features import common_indicators, missing_counts, null_filter, wide_matrix
 from beforeafter.plans.features import training_features
 
@@ -73,6 +73,29 @@ def test_pair_edges(spark):
     assert found.keys() == pandas_pairs(wide).keys()
 
 
+def test_partial_sums_do_not_grow_with_blocks_of_rows():
+    rng = np.random.default_rng(3)
+    cells = pd.DataFrame(
+        [
+            (i, j, 0, rb, side, f"e{row}", 1, f"c{side}{k}", rng.normal())
+            for i, j in ((0, 0), (0, 1))
+            for rb in range(6)
+            for row in range(rb * 10, rb * 10 + 10)
+            for side in sorted({i, j})
+            for k in range(5 if rb else 3)
+        ],
+        columns=["bi", "bj", "salt", "rb", "side", "entity", "event_at", "indicator", "z"],
+    )
+    one = cells.assign(rb=0)
+    whole, parts = (pd.concat(_summed(iter([x]))) for x in (one, cells))
+    cut = pd.concat(_summed(cells.iloc[at : at + 37] for at in range(0, len(cells), 37)))
+    assert len(whole) == len(parts) == len(cut) == 10 + 25
+    for other in (parts, cut):
+        both = whole.merge(other, on=["a", "b"])
+        assert len(both) == len(whole)
+        assert all(np.allclose(both[f"{m}_x"], both[f"{m}_y"]) for m in ("n", "sa", "sb", "saa", "sbb", "sab"))
+
+
 def test_exact_threshold_stays_and_chains_count(spark):
     # r(a, b) is exactly 0.9: b = 0.9 a + sqrt(0.19) c for a, c orthonormal.
     a = np.array([1.0, -1.0, 1.0, -1.0])
