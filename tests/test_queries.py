@@ -2,8 +2,8 @@ import pytest
 from check_oracle import compare, connect, plain
 
 from __spark_entry__ import entry, oracle_sql, queries
-
-FITTED: set[str] = set()
+from beforeafter.plans.oracle import ORACLE
+from beforeafter.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,12 +11,12 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-def test_every_query_but_the_fitted_ones_has_sql():
-    assert set(queries()) - set(oracle_sql()) == FITTED
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, sf_dir, con, name):
     df = queries()[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
