@@ -216,3 +216,14 @@ def test_sharding_query_sizes_and_checksums(spark, sf_dir):
     for r in op9_sharding(spark, sf_dir).collect():
         data = (texts[r["doc_id"]] or "").encode()
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 1, zlib.crc32(data), "rows", None)
+
+
+def test_queries_equal_their_sql(spark, sf_dir):
+    from check_oracle import compare, connect, plain
+
+    from beforeafter.llm.oracle import ORACLE
+    from beforeafter.llm.queries import QUERIES
+
+    con = connect(sf_dir)
+    for name, sql in ORACLE.items():
+        assert compare(plain(QUERIES[name](spark, sf_dir).toPandas()), plain(con.execute(sql).df())) == ""
