@@ -15,6 +15,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from beforeafter.llm.text import unused
+
 
 class PerfectHash:
     """Distinct byte strings in as many slots as there are strings, none left empty.
@@ -61,12 +63,12 @@ class PerfectHash:
         return self.values[slot] if self.keys[slot] == key else -1
 
 
-#: Most pre-tokens remembered by a worker (some 100 MB), and the longest of them. What
+#: Most pre-tokens remembered by a worker (some 60 MB), and the longest of them. What
 #: is forgotten is worked out anew.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 REMEMBERED_LENGTH = 48
-#: Rows of a batch whose ids or bytes are gathered at a time.
-SLICE = 1_024
+#: Rows of a batch whose ids and bytes are gathered at a time.
+SLICE = 512
 
 
 class Tokenizer:
@@ -136,6 +138,10 @@ class Tokenizer:
         known, piece = self.known.get, self.piece
         return b"".join([known(t) or piece(t) for t in self.split(text)])
 
+    def decode(self, ids: bytes) -> bytes:
+        """What ``encode`` was given, in UTF-8."""
+        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<i4").tolist()))
+
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("known", "split")}
 
@@ -179,6 +185,28 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", name:
     return df.withColumn(name, ids(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
 
 
+def round_trip(
+    df: DataFrame, path: str, pattern: str, text_col: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: adds the ids and the bytes they stand for,
+    so that ids do not travel to a second set of workers with a vocabulary of its own."""
+    held = df.sparkSession.sparkContext.broadcast(tokenizer(path, pattern))
+
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = held.value
+        for texts in batches:
+            for at in range(0, len(texts), SLICE):
+                parts = [coder.encode(t) for t in texts.slice(at, SLICE).to_pylist()]
+                back = pa.array([coder.decode(p) for p in parts], pa.binary())
+                yield pa.StructArray.from_arrays([_lists(parts), back], names=["ids", "decoded"])
+
+    name = unused("_coded", df.columns)
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in (ids.lower(), decoded.lower())]
+    coded = df.withColumn(name, both(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    return coded.select(*kept, F.col(name)["ids"].alias(ids), F.col(name)["decoded"].alias(decoded))
+
+
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """Adds ``name``, the bytes (binary) that the ids stand for; null for null ids.
     An id outside the vocabulary raises."""

@@ -69,7 +69,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the bytes they decode to."""
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(texts, VOCABULARY, public_tokenizers.PATTERN).drop("text"), VOCABULARY, public_tokenizers.PATTERN)
+    coded = bpe.round_trip(texts, VOCABULARY, public_tokenizers.PATTERN)
     return coded.select("doc_id", *token_digests())
 
 

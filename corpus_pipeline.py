@@ -45,8 +45,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of them and of their decoding."""
-    coded = bpe.encode(docs.select("doc_id", "source", "text"), VOCABULARY, public_tokenizers.PATTERN).drop("text")
-    coded = bpe.decode(coded, VOCABULARY, public_tokenizers.PATTERN)
+    coded = bpe.round_trip(docs.select("doc_id", "source", "text"), VOCABULARY, public_tokenizers.PATTERN)
     return coded.select("doc_id", "source", *token_digests(), "ids")
 
 

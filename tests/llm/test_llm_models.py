@@ -58,6 +58,10 @@ def test_encode_and_decode_frames(spark, reference):
     coded = bpe.decode(bpe.encode(df, PATH, public_tokenizers.PATTERN), PATH, public_tokenizers.PATTERN)
     for r in coded.collect():
         assert r["ids"] == reference.encode_ordinary(r["text"] or "") and bytes(r["decoded"]).decode() == (r["text"] or "")
+    once = bpe.round_trip(df, PATH, public_tokenizers.PATTERN)
+    assert once.columns == coded.columns[:2] + ["ids", "decoded"]
+    key = lambda rows: sorted((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in rows)
+    assert key(once.collect()) == key(coded.collect()) and bpe.round_trip(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
     assert bpe.encode(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
     null = spark.createDataFrame([(None,), ([],)], "ids array<int>")
     assert sorted((r["decoded"] for r in bpe.decode(null, PATH, public_tokenizers.PATTERN).collect()), key=repr) == [None, b""]
