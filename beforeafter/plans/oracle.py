@@ -202,8 +202,6 @@ _LANDED = """landed AS (
          CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS price,
          CASE WHEN o_orderstatus = 'F' THEN 'many' ELSE '3' END AS lines, o_orderstatus AS status FROM orders)"""
 
-_WIDE_CODES = ("1-URGENT", "3-MEDIUM", "5-LOW", "B.Brand#1", "B.Brand#25")
-
 ORACLE = {
     "panel_union": f"WITH {_PANEL} SELECT source, entity, indicator, time, {r4('value')} AS value FROM panel",
     "panel_profile": f"""WITH {_PANEL}
@@ -256,9 +254,8 @@ SELECT entity, event_at, indicator, {r4('avg_value')} AS avg_value, n_values FRO
     "feature_missing_counts": f"WITH {_DENSE} SELECT indicator, n_rows, n_missing FROM missing",
     "feature_null_filter": f"WITH {_DENSE} SELECT entity, event_at, indicator, {r4('avg_value')} AS avg_value, n_values FROM dense",
     "feature_matrix_wide": f"""WITH {_PANEL}, {_E_NAT}, {_means('panel', 6)}
-SELECT entity, event_at, """
-    + ", ".join(f"{r4(f'''max(avg_value) FILTER (indicator = '{c}')''')} AS \"{c}\"" for c in _WIDE_CODES)
-    + " FROM means GROUP BY entity, event_at",
+SELECT * FROM (PIVOT (SELECT entity, event_at, indicator, {r4('avg_value')} AS v FROM means)
+               ON indicator USING any_value(v) GROUP BY entity, event_at)""",
     "correlation_pairs": f"WITH {_PAIRS} SELECT a, b, n_rows, {r4('r')} AS r FROM pairs",
     "correlation_kept": f"""WITH {_PAIRS}
 SELECT entity, event_at, indicator, {r4('avg_value')} AS avg_value, n_values FROM dense

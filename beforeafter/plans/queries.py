@@ -212,9 +212,10 @@ def feature_missing_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feature_matrix_wide(spark: SparkSession, d: str) -> DataFrame:
-    means = windows.pre_event_means(_panel(spark, d), nation_events(spark, d))
-    codes = ["1-URGENT", "3-MEDIUM", "5-LOW", "B.Brand#1", "B.Brand#25"]
-    wide = features.wide_matrix(means, codes)
+    """All codes as columns."""
+    means = stage(windows.pre_event_means(_panel(spark, d), nation_events(spark, d)), "means")
+    wide = features.wide_matrix(means)
+    codes = [c for c in wide.columns if c not in ("entity", "event_at")]
     return wide.select("entity", "event_at", *[r4(quoted(c)).alias(c) for c in codes])
 
 
