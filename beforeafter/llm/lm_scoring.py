@@ -1,4 +1,9 @@
-"""Cross-entropy difference between a target and a background language model."""
+"""Cross-entropy difference between a target and a background language model.
+
+``score_by_counts`` keeps every word and bigram of the corpus in tables that grow with
+it; the registered query uses it. ``train`` and ``add_losses`` make and apply models of
+a fixed size, which merge rare words and contexts into classes.
+"""
 
 from __future__ import annotations
 
@@ -9,13 +14,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beforeafter.llm.text import unused
+from beforeafter.llm.text import ascii_lower, let, unused, word_count, words
 from beforeafter.staging import stage
 
-#: Sizes of the models, whatever the corpus. Tokens: the most frequent words, then
+#: Sizes of the fixed-size models, whatever the corpus. Tokens: the most frequent words, then
 #: classes of all others by their last bytes. Contexts: the most frequent words of
 #: these alone, then classes of the other tokens, then the start of a text.
 WORDS = 3_840
@@ -64,8 +69,8 @@ def learn_vocabulary(df: DataFrame, text_col: str = "text") -> Vocabulary:
                     seen.clear()
         yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
 
-    words = df.select(F.col(f"`{text_col}`")).mapInPandas(count, "word binary, n long")
-    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(WORDS)
+    counted = df.select(F.col(f"`{text_col}`")).mapInPandas(count, "word binary, n long")
+    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(WORDS)
     chosen = sorted(top.collect(), key=lambda r: (-r["n"], bytes(r["word"])))
     return Vocabulary({bytes(r["word"]): i for i, r in enumerate(chosen)})
 
@@ -161,3 +166,74 @@ def add_losses(df: DataFrame, models: Models, text_col: str = "text") -> DataFra
         F.when(some, at["background_loss"]).alias("background_loss"),
         F.when(some, at["background_loss"] - at["target_loss"]).alias("score"),
     )
+
+
+#: Pseudo-counts that a context deals by the frequencies of single words.
+OWN = 64.0
+_NEW = ("n_tokens", "target_loss", "background_loss", "score")
+
+
+def _bigrams(df: DataFrame, text: Column, kept: list[Column]) -> DataFrame:
+    """``kept``, ``context`` and ``word`` for each word: 64-bit hashes, before the
+    first word that of the empty text."""
+    hashes = F.transform(words(ascii_lower(text)), lambda w: F.xxhash64(w))
+
+    def paired(h: Column) -> Column:
+        start = F.xxhash64(F.lit(""))
+        return F.transform(h, lambda w, i: F.struct(F.when(i == 0, start).otherwise(F.get(h, i - 1)).alias("c"), w.alias("w")))
+
+    pairs = df.select(*kept, F.explode(let(hashes, paired)).alias("_pair"))
+    return pairs.select(*[c for c in pairs.columns if c != "_pair"], F.col("_pair.c").alias("context"), F.col("_pair.w").alias("word"))
+
+
+def bigram_losses(counts: DataFrame) -> DataFrame:
+    """Losses of every counted bigram (``context``, ``word``, ``background``, ``target``)
+    under both models.
+
+    A context's counts are interpolated with ``OWN`` pseudo-counts dealt by the
+    frequencies of single words, which themselves get one more each, as does one unseen
+    word. The background counts are scaled to the target's total.
+    """
+    single = stage(counts.groupBy("word").agg(F.sum("background").alias("word_b"), F.sum("target").alias("word_t")), "words")
+    around = counts.groupBy("context").agg(F.sum("background").alias("context_b"), F.sum("target").alias("context_t"))
+    total = single.agg(F.sum("word_b").alias("b"), F.sum("word_t").alias("t"), F.count(F.lit(1)).alias("words")).first()
+    target, scale = float(total["t"] or 0), (total["t"] or 0) / max(total["b"] or 0, 1)
+
+    def loss(pair: Column, word: Column, context: Column) -> Column:
+        return -F.log((pair + OWN * (word + 1.0) / (target + total["words"] + 1.0)) / (context + OWN))
+
+    return counts.join(single, "word").join(around, "context").select(
+        "context",
+        "word",
+        loss(F.col("target"), F.col("word_t"), F.col("context_t")).alias("target_loss"),
+        loss(scale * F.col("background"), scale * F.col("word_b"), scale * F.col("context_b")).alias("background_loss"),
+    )
+
+
+def score_by_counts(df: DataFrame, target_col: str, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Adds ``n_tokens``, ``target_loss``, ``background_loss`` and ``score`` by two
+    bigram models of all words of ``df``; no word or bigram is merged or left out.
+
+    The background counts every text, the target those with a true ``target_col``.
+    Bigrams are counted where they lie before they shuffle, and the table of them is
+    joined with those of the texts, so nothing of the corpus's size is broadcast or
+    comes to the driver, and a frequent bigram is split as a skewed join. Sums go by the
+    texts' hashes: equal texts have equal means. Without a word (null, empty, blank
+    texts) losses and score are null. ``carry`` names the columns kept (default all);
+    columns of the new names are replaced.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    chosen = F.coalesce(F.col(f"`{target_col}`"), F.lit(False)).cast("int").alias("_target")
+    found = _bigrams(df, text, [chosen]).groupBy("context", "word")
+    counts = stage(found.agg(F.count(F.lit(1)).alias("background"), F.sum("_target").alias("target")), "bigrams")
+    of_text = _bigrams(df, text, [F.xxhash64(text).alias("_hash")])
+    sums = of_text.join(bigram_losses(counts), ["context", "word"]).groupBy("_hash").agg(
+        F.avg("target_loss").alias("_t"), F.avg("background_loss").alias("_b")
+    )
+    carry = [c for c in (df.columns if carry is None else carry) if c.lower() not in _NEW]
+    name = unused("_text", carry)
+    kept = [F.col(f"`{c}`") for c in carry]
+    rows = df.select(*kept, word_count(text).alias("n_tokens"), F.xxhash64(text).alias(name))
+    return rows.join(sums, F.col(name) == F.col("_hash"), "left").select(
+        *kept, "n_tokens", F.col("_t").alias("target_loss"), F.col("_b").alias("background_loss"), (F.col("_b") - F.col("_t")).alias("score")
+    )

@@ -42,7 +42,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = docs.join(broadcast_if_small(good), key == F.col("_good"), "left").select(
         "doc_id", "text", F.col("_good").isNotNull().alias("is_target")
     )
-    return lm_scoring.add_losses(docs, lm_scoring.train(marked, "is_target")).drop("text")
+    return lm_scoring.score_by_counts(marked, "is_target", carry=["doc_id"])
 
 
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,6 +111,61 @@ def test_losses_of_odd_texts(spark):
     assert lm_scoring.add_losses(df.withColumn("t", F.lit(None).cast("boolean")), none).count() == len(ODD)
 
 
+def plain_scores(texts, is_target):
+    """Losses by dictionaries of all words and bigrams."""
+    from collections import Counter
+    from math import log
+
+    words = [(t or "").encode().lower().split() for t in texts]
+    pairs = [list(zip([None, *w], w)) for w in words]
+    models = []
+    for chosen in (is_target, [True] * len(texts)):
+        models.append(Counter(p for ps, yes in zip(pairs, chosen) if yes for p in ps))
+    n_words = len({w for ws in words for w in ws})
+    target, everything = (sum(m.values()) for m in models)
+    losses = []
+    for model, scale in zip(models, (1.0, target / max(everything, 1))):
+        single, context = Counter(), Counter()
+        for (c, w), n in model.items():
+            single[w] += n
+            context[c] += n
+        own = lm_scoring.OWN
+        losses.append(lambda c, w, m=model, s=scale, one=single, total=context: -log(
+            (s * m[c, w] + own * (s * one[w] + 1) / (target + n_words + 1)) / (s * total[c] + own)
+        ))
+    return [[len(ps)] + [sum(f(*p) for p in ps) / len(ps) if ps else None for f in losses] for ps in pairs]
+
+
+def test_every_word_and_bigram_counts(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
+    good = {r["doc_id"] for r in labels.filter(~quality_classifier.held_out(F.col("doc_id"))).collect()}
+    want = dict(zip((r["doc_id"] for r in docs), plain_scores([r["text"] for r in docs], [r["doc_id"] in good for r in docs])))
+    assert len({w for r in docs for w in (r["text"] or "").encode().lower().split()}) > lm_scoring.WORDS
+    got = Q.op2_lm_scoring(spark, sf_dir).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        n, target, background = want[r["doc_id"]]
+        assert r["n_tokens"] == n and (r["score"] is None) == (n == 0)
+        assert n == 0 or (r["target_loss"], r["background_loss"]) == (pytest.approx(target), pytest.approx(background))
+
+
+def test_counted_losses_of_odd_texts(spark):
+    df = spark.createDataFrame([(t, i % 2 == 0, 1.0) for i, t in enumerate(ODD)], "text string, t boolean, score double")
+    want = {t: w for t, w in zip(ODD, plain_scores(ODD, [i % 2 == 0 for i in range(len(ODD))]))}
+    out = lm_scoring.score_by_counts(df, "t")
+    assert out.columns == ["text", "t", "n_tokens", "target_loss", "background_loss", "score"]
+    rows = out.collect()
+    assert len(rows) == len(ODD)
+    for r in rows:
+        n, target, background = want[r["text"]]
+        assert r["n_tokens"] == n and (r["score"] is None) == (n == 0)
+        assert n == 0 or r["score"] == pytest.approx(background - target)
+    assert lm_scoring.score_by_counts(df.limit(0), "t").count() == 0
+    untaught = lm_scoring.score_by_counts(df.withColumn("t", F.lit(None).cast("boolean")), "t")
+    assert untaught.filter("score IS NOT NULL").count() == sum(bool((t or "").split()) for t in ODD)
+
+
 def test_scores_tell_good_documents_from_bad(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     held = labels.filter(quality_classifier.held_out(F.col("doc_id")))
