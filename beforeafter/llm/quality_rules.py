@@ -134,10 +134,31 @@ class VoteModel:
         return parts[0] / sum(parts[1:], parts[0])
 
 
-#: Chances of a rule's votes on the faults it is made for: it catches nearly all.
+#: Beliefs (votes -1, 0, 1), each worth ``BELIEF_ROWS`` rows, that the estimates
+#: are drawn to: a rule catches nearly all faults it is made for, and raises few false alarms.
 OWN_FAULT = (0.95, 0.04, 0.01)
-#: Belief about votes on good rows, weighing as much as all rows seen: few false alarms.
 ON_GOOD = (0.001, 0.05, 0.949)
+BELIEF_ROWS = 20.0
+#: Bad votes of another rule, at least, that false alarms are read off.
+SUPPORT = 50
+#: By definition of a class: its own rule sees its faults at least this often.
+LEAST_HIT = 0.5
+
+
+def false_alarms(bad: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Estimates of each rule's chance of a false alarm.
+
+    A false alarm comes whatever other rules see, so it comes among the bad votes of
+    every other rule: the least share that a rule has there, with ``ON_GOOD`` added.
+    """
+    both = bad.T @ (bad * count[:, None])
+    given = np.diag(both)
+    rates = (both + BELIEF_ROWS * ON_GOOD[0]) / (given + BELIEF_ROWS)[None, :]
+    rates[:, given < SUPPORT] = np.inf
+    np.fill_diagonal(rates, np.inf)
+    least = rates.min(axis=1)
+    overall = (count @ bad) / count.sum()
+    return np.where(np.isfinite(least), np.minimum(least, np.maximum(overall, ON_GOOD[0])), ON_GOOD[0])
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, tol: float = 1e-7, max_rounds: int = 100_000) -> VoteModel:
@@ -146,12 +167,13 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, tol: flo
     A row is good or has one kind of fault, and given that its rules vote
     independently. Faults of one kind pass most other rules, so with a single bad
     class the votes of one kind's rules would outvote all others; with a class per
-    rule each is judged by its own votes. A rule's chances on its own kind are set
-    (``OWN_FAULT``), all others are estimated, false alarms on good rows with a belief
-    (``ON_GOOD``) as heavy as the rows themselves: without it votes that few others
-    echo could as well be false alarms. One vote added to each other estimate keeps
-    chances off zero. Starts from rows with bad
-    votes as likely faults of those rules. Raises if the rounds run out.
+    rule each is judged by its own votes. All chances are estimated, hits on a rule's
+    own faults too, with beliefs (``OWN_FAULT``, ``ON_GOOD``) as heavy as
+    ``BELIEF_ROWS`` rows, whatever the size, and one vote added to each other estimate.
+    A lone bad vote could be a fault or a false alarm, and the likelihood is flat
+    between the two, so the chances of false alarms are read off votes cast together
+    (``false_alarms``) and the rounds estimate the rest. A class stays what it is named
+    for by ``LEAST_HIT``. Raises if the rounds run out.
     """
     n_classes = n_rules + 1
     if not patterns:
@@ -160,19 +182,28 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, tol: flo
     count = np.array([c for _, c in patterns], dtype=float)
     votes = np.array([p for p, _ in patterns])
     onehot = (votes[:, :, None] == np.array([-1, 0, 1])).astype(float)
-    bad = np.hstack([np.full((len(count), 1), 0.01), onehot[:, :, 0] + 1e-3])
-    bad[(votes >= 0).all(axis=1), 0] = 1.0
-    share = bad / bad.sum(axis=1, keepdims=True)
-    added = np.ones((n_classes, n_rules, 3))
-    added[0] = np.array(ON_GOOD) * count.sum()
+    bad = onehot[:, :, 0]
+    alarms = false_alarms(bad, count)
     own = np.arange(n_rules)
+    added = np.ones((n_classes, n_rules, 3))
+    on_good = np.array(ON_GOOD[1:]) / sum(ON_GOOD[1:])
+    added[0, :, 1:] = BELIEF_ROWS * on_good
+    added[own + 1, own] = BELIEF_ROWS * np.array(OWN_FAULT)
+
+    # First chances: on good rows those without bad votes and the alarms, in a class
+    # those of the rows its rule votes bad on.
+    held = np.column_stack([(bad == 0).all(axis=1), bad]) * count[:, None]
+    chances = np.einsum("pc,pjv->cjv", held, onehot) + added
+    chances[0, :, 1:] *= ((1 - alarms) / chances[0, :, 1:].sum(axis=1))[:, None]
+    chances[0, :, 0] = alarms
+    chances[own + 1, own] = OWN_FAULT
+    chances /= chances.sum(axis=2, keepdims=True)
+    fault = np.maximum((count @ bad) / count.sum() - alarms, 0.0) * count.sum() + 1.0
+    priors = np.concatenate([[max(count.sum() - fault.sum(), 0.0) + 1.0], fault])
+    priors /= priors.sum()
+    share = np.zeros((len(count), n_classes))
     moved = np.inf
     for _ in range(max_rounds):
-        held = share * count[:, None]
-        sums = np.einsum("pc,pjv->cjv", held, onehot) + added
-        chances = sums / sums.sum(axis=2, keepdims=True)
-        chances[own + 1, own] = OWN_FAULT
-        priors = (held.sum(axis=0) + 1.0) / (count.sum() + n_classes)
         log = np.log(priors) + np.einsum("cjv,pjv->pc", np.log(chances), onehot)
         new = np.exp(log - log.max(axis=1, keepdims=True))
         new /= new.sum(axis=1, keepdims=True)
@@ -180,6 +211,16 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, tol: flo
         share = new
         if moved <= tol:
             break
+        held = share * count[:, None]
+        sums = np.einsum("pc,pjv->cjv", held, onehot) + added
+        chances = sums / sums.sum(axis=2, keepdims=True)
+        chances[0, :, 1:] *= ((1 - alarms) / chances[0, :, 1:].sum(axis=1))[:, None]
+        chances[0, :, 0] = alarms
+        hit = chances[own + 1, own]
+        low = hit[:, 0] < LEAST_HIT
+        rest = hit[:, 1:] * ((1 - LEAST_HIT) / hit[:, 1:].sum(axis=1))[:, None]
+        chances[own + 1, own] = np.where(low[:, None], np.column_stack([np.full(n_rules, LEAST_HIT), rest]), hit)
+        priors = (held.sum(axis=0) + 1.0) / (count.sum() + n_classes)
     else:
         raise ArithmeticError(f"votes not settled after {max_rounds} rounds: still moving by {moved:.3g}")
     good = share[:, 0] * count

@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,34 @@ def test_votes_tell_planted_faults_from_good_rows():
     assert all(0.5 < a <= 1 for a in model.accuracy)
 
 
+def test_good_votes_outweigh_a_rule_with_frequent_false_alarms():
+    """Seven rules see a kind of fault each; the eighth votes bad on a fifth of all rows."""
+    for size in (100, 10_000):
+        patterns = Counter()
+        for fault in range(-1, 7):
+            votes = [-1 if j == fault else 1 for j in range(7)]
+            n = size * (86 if fault < 0 else 2)
+            patterns[(*votes, 1)] += n * 4 // 5
+            patterns[(*votes, -1)] += n // 5
+        model = quality_rules.estimate(sorted(patterns.items()), 8)
+
+        def good(votes):
+            parts = [p * np.prod([c[j][v + 1] for j, v in enumerate(votes)]) for p, c in zip(model.priors, model.chances)]
+            return parts[0] / sum(parts)
+
+        assert good((1,) * 7 + (-1,)) > 0.5
+        assert good((-1,) + (1,) * 7) < 0.1 and good((-1,) + (1,) * 6 + (-1,)) < 0.1
+        assert model.chances[0][7][0] == pytest.approx(0.2, abs=0.05)
+
+
+def test_hits_on_a_rules_own_faults_are_estimated():
+    """Two rules see one kind of fault, the first of them four times in five."""
+    patterns = {(1, 1, 1): 90_000, (-1, -1, 1): 8_000, (1, -1, 1): 2_000, (1, 1, -1): 500}
+    model = quality_rules.estimate(sorted(patterns.items()), 3)
+    hits = [model.chances[j + 1][j] for j in range(3)]
+    assert any(h != pytest.approx(quality_rules.OWN_FAULT) for h in hits) and all(h[0] >= 0.5 for h in hits)
+
+
 def test_posterior_column_equals_the_model(spark):
     patterns = [((1, -1), 3), ((0, 1), 5), ((-1, 0), 1)]
     model = quality_rules.estimate(patterns, 2)
