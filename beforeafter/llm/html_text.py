@@ -34,7 +34,8 @@ BOILERPLATE_NAMES = frozenset(
 )
 CONTENT_NAMES = frozenset("article body content entry main post story text".split())
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: An attribute: its whole name, then its value, quoted or bare, if it has one.
+_ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 #: Elements open at a time; deeper ones count as their parent, as in browsers.
 DEPTH = 512
@@ -62,9 +63,12 @@ class Block:
 
 
 def _names(attributes: str) -> tuple[frozenset[str], bool]:
-    names, hidden = set(), False
+    names, hidden, seen = set(), False, set()
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values)
+        if key in seen:  # the first one counts
+            continue
+        seen.add(key)
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             hidden = True
         elif key in ("class", "id", "role"):

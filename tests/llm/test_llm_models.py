@@ -193,6 +193,24 @@ def test_main_text_of_a_page():
     assert html_text.main_text(PAGE.replace('<div class="content">', "<article>").replace("</script></div>", "</script></article>")) == MAIN
 
 
+PROSE = "A first paragraph of prose, with enough words in it to be taken for content by all that looks at it."
+
+
+@pytest.mark.parametrize("tag", [
+    '<div style="overflow: hidden">', '<article data-t="The hidden valley">', "<article data-t='x hidden id=comments'>",
+    '<article title="see id=comments">', "<article data-id=comments data-hidden>", '<article alt="a" class="post" class="comments">',
+    "<article x=a/hidden=1>", '<article title = "a > hidden b">',
+])
+def test_attributes_are_whole_names(tag):
+    end = tag[1:].split(" ")[0]
+    assert html_text.main_text(f"<body>{tag}<p>{PROSE}</p></{end}></body>") == PROSE
+
+
+@pytest.mark.parametrize("tag", ["<article hidden>", "<article HIDDEN=''>", '<article style="x"hidden>', "<article aria-hidden = 'true'>", '<article a="b" id = comments>', "<article/class=comments>"])
+def test_attributes_that_count(tag):
+    assert html_text.main_text(f"<body>{tag}<p>{PROSE}</p></article></body>") == ""
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<nav>x</nav>", "<!--", "<script>x", "</p></div>", "<title>x"])
 def test_pages_without_text(page):
     assert html_text.main_text(page) == "" or page == "<"
