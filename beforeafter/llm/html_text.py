@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 HIDDEN = frozenset("head template noscript svg math object select datalist button canvas audio video map".split())
+#: What may stand in a head; any other start tag, or text, ends an open one.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
@@ -84,8 +86,18 @@ def blocks(page: str) -> list[Block]:
     current: Block | None = None
     at, n, number, hidden, links = 0, len(page), 0, 0, 0
 
+    def end_head() -> None:
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k].tag == "template":
+                break
+            if stack[k].tag == "head":
+                pop_to(k)
+                break
+
     def text(piece: str) -> None:
         nonlocal current
+        if hidden and stack[-1].tag == "head" and piece and not piece.isspace():
+            end_head()
         if hidden or not piece:
             return
         if current is None:
@@ -139,6 +151,10 @@ def blocks(page: str) -> list[Block]:
             if depth is not None:
                 pop_to(depth)
             continue
+        if hidden and name not in IN_HEAD:
+            end_head()
+        if name == "head" and any(e.tag != "html" for e in stack):  # browsers skip it
+            continue
         if name in VOID:
             continue
         if name in RAW:

@@ -211,6 +211,15 @@ def test_attributes_that_count(tag):
     assert html_text.main_text(f"<body>{tag}<p>{PROSE}</p></article></body>") == ""
 
 
+@pytest.mark.parametrize("start", [
+    "<html><head><title>t</title><body>", "<head><meta charset=x><style>a</style>", "<html><head><noscript><link rel=x></noscript><body>",
+    "<html><head><noscript><style>a</style><body>", "<html><head></head><body><head>", "<head><template><p>no</p></template><body>", "<title>t</title>",
+])
+def test_omitted_end_of_the_head(start):
+    assert html_text.main_text(f"<!DOCTYPE html>{start}<article><p>{PROSE}</p></article>") == PROSE
+    assert html_text.main_text(f"{start}{PROSE}") == PROSE
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<nav>x</nav>", "<!--", "<script>x", "</p></div>", "<title>x"])
 def test_pages_without_text(page):
     assert html_text.main_text(page) == "" or page == "<"
