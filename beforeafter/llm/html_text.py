@@ -188,8 +188,41 @@ def blocks(page: str) -> list[Block]:
     return [b for b in found if b.text]
 
 
-def evidence(block: Block) -> float:
-    """Log odds that a block is content, by what stands around it and its own text."""
+def wrappers(found: list[Block]) -> frozenset[int]:
+    """Numbers of the elements around the page's main part, whose names tell nothing.
+
+    The main part is the element of most text among those named or tagged as content
+    and not as boilerplate. Around it are its ancestors, if it holds a third of the text
+    or the ancestor half. Without such an element, all that hold more than half count,
+    but for an article or main that is named as boilerplate.
+    """
+    size: dict[int, int] = {}
+    first: dict[int, tuple[Block, int]] = {}
+    total = 0
+    for b in found:
+        length = len(b.text)
+        total += length
+        for depth, e in enumerate(b.path):
+            if e.number not in size:
+                first[e.number] = b, depth
+            size[e.number] = size.get(e.number, 0) + length
+
+    def content(block: Block, depth: int) -> bool:
+        e = block.path[depth]
+        named = e.tag in CONTENT_TAGS or e.names & CONTENT_NAMES and e.tag not in ("html", "body")
+        return bool(named) and not e.names & BOILERPLATE_NAMES and not any(x.tag in BOILERPLATE_TAGS for x in block.path[:depth])
+
+    main = max((n for n, at in first.items() if content(*at)), key=lambda n: (size[n], -n), default=None)
+    if main is None:
+        return frozenset(n for n, (b, k) in first.items() if 2 * size[n] > total and b.path[k].tag not in CONTENT_TAGS)
+    enough = 3 * size[main] >= total
+    block, depth = first[main]
+    return frozenset(e.number for e in block.path[:depth] if enough or 2 * size[e.number] > total)
+
+
+def evidence(block: Block, around: frozenset[int] = frozenset()) -> float:
+    """Log odds that a block is content, by what stands around it and its own text.
+    Names of the elements ``around`` the main part cost nothing."""
     score, names_count = 0.0, True
     inside = False
     for e in reversed(block.path):
@@ -201,7 +234,7 @@ def evidence(block: Block) -> float:
         if names_count and e.names and e.tag not in ("html", "body"):
             bad = e.names & BOILERPLATE_NAMES
             if bad:
-                score -= 10.0
+                score -= 0.0 if e.number in around else 10.0
             elif e.names & CONTENT_NAMES:
                 score += 1.0
         if e.tag in CONTENT_TAGS and not e.names & BOILERPLATE_NAMES:
@@ -336,7 +369,8 @@ def minimum_cut(scores: list[int], joined: dict[tuple[int, int], int]) -> list[b
 def main_text(page: str | None) -> str:
     """Content blocks in page order, joined by spaces; empty where there is none."""
     found = blocks(page or "")
-    labels = minimum_cut([round(SCALE * evidence(b)) for b in found], edges(found))
+    around = wrappers(found)
+    labels = minimum_cut([round(SCALE * evidence(b, around)) for b in found], edges(found))
     return " ".join(b.text for b, content in zip(found, labels) if content)
 
 

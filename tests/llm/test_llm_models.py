@@ -220,6 +220,22 @@ def test_omitted_end_of_the_head(start):
     assert html_text.main_text(f"{start}{PROSE}") == PROSE
 
 
+@pytest.mark.parametrize("wrapper", ["page with-sidebar", "has-comments", "layout sidebar-left no-footer", "widget"])
+@pytest.mark.parametrize("content", ["content", "x", "entry-body"])
+def test_names_of_page_wrappers_tell_nothing(wrapper, content):
+    page = f"""<body><div class="{wrapper}"><div class="menu"><a href=a>One</a> <a href=b>Two</a></div>
+<div class="{content}"><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div>
+<div class="sidebar"><p>Beside the point, yet prose.</p></div><div id="comments"><p>I like this very much.</p></div></div></body>"""
+    assert html_text.main_text(page) == " ".join([PROSE] * 3)
+
+
+def test_boilerplate_beside_the_content_stays_out():
+    for inner in ("text", "x"):
+        page = f"""<body><div class="content"><p>{PROSE}</p></div><div class="sidebar"><div class="{inner}"><p>Beside the point.</p></div></div>
+<div id="comments"><div class="comment"><p>{PROSE}</p></div><div class="comment"><p>{PROSE}</p></div></div></body>"""
+        assert html_text.main_text(page) == PROSE
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<nav>x</nav>", "<!--", "<script>x", "</p></div>", "<title>x"])
 def test_pages_without_text(page):
     assert html_text.main_text(page) == "" or page == "<"
