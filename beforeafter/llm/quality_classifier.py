@@ -126,7 +126,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """Voters from labelled documents that are not held out.
 
     At most ``SAMPLE_ROWS`` labelled ids, those with the least hashes, are looked up in
-    the documents; their counts (as many floats a row as a text has different words,
+    the documents, the least text of each; their counts (as many floats a row as a text has different words,
     ``CELLS`` at most) come to the driver, where the axes are fitted. Labels other than
     0 and 1, null ids, and texts without words teach nothing. Without any labelled
     text every score is 0.
@@ -142,10 +142,13 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         cells = [None if r is None else np.flatnonzero(r) for r in rows]
         return pd.DataFrame({"cells": cells, "values": [None if c is None else r[c] for c, r in zip(cells, rows)]})
 
-    # Of bounded size: SAMPLE_ROWS ids.
-    taught = documents.select(key.alias("_key"), F.col(f"`{text_col}`").alias("_text")).join(
-        F.broadcast(chosen), F.col("_key") == F.col("_id")
-    )
+    # Of bounded size: SAMPLE_ROWS ids, and one text for each, the least, before they are
+    # read: an id may be that of any share of the documents.
+    ids = chosen.select("_id").distinct()
+    texts = documents.select(key.alias("_key"), F.col(f"`{text_col}`").alias("_text")).join(
+        F.broadcast(ids), F.col("_key") == F.col("_id"), "left_semi"
+    ).groupBy("_key").agg(F.min("_text").alias("_text"))
+    taught = texts.join(F.broadcast(chosen), F.col("_key") == F.col("_id"))
     rows = [
         r for r in taught.select("_id", "_label", sparse("_text").alias("c")).collect() if r["c"]["cells"] is not None
     ]

@@ -287,6 +287,14 @@ def test_classifier_of_odd_texts_and_without_labels(spark):
     assert quality_classifier.add_score(df.limit(0), blank).count() == 0
 
 
+def test_a_repeated_id_teaches_once(spark):
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(40)] + [(1, "zzz again")] * 500, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    once = quality_classifier.fit(docs.limit(40), labels)
+    repeated = quality_classifier.fit(docs, labels)
+    assert len(once.labels) == len(repeated.labels) <= 40 and np.array_equal(once.vectors, repeated.vectors)
+
+
 def test_labels_of_held_out_documents_teach_nothing(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     held = quality_classifier.held_out(F.col("doc_id"))
