@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beforeafter.llm import (
-    bpe, html_text, lm_scoring, mixing, quality_classifier, quality_rules, sharding, simhash, text, url_rules, vector_dedup,
+    bpe, html_text, licenses, lm_scoring, mixing, quality_classifier, quality_rules, sharding, simhash, spelling, text,
+    url_rules, vector_dedup,
 )
 from beforeafter.staging import broadcast_if_small, stage
 
@@ -18,6 +19,8 @@ URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 N_SHARDS = 8
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 GOOD_SCORE = 0.7
+#: Fixed values of the spelling contract.
+LEAST_LETTERS, LEAST_COUNT, SLIP_EVERY = 6, 5, 199
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,6 +122,21 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, with the contract's slips."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.explode(spelling.runs(F.col("text"), LEAST_LETTERS)).alias("run"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    slipped = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = docs.withColumn("h", h).select(F.when(F.col("h") % SLIP_EVERY == 0, slipped).otherwise(F.col("run")).alias("word"))
+    return spelling.forms(spelling.word_counts(words, LEAST_LETTERS, LEAST_COUNT))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_lm_scoring": op2_lm_scoring,
@@ -130,4 +148,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_license_scan": op12_license_scan,
+    "op13_spelling": op13_spelling,
 }
