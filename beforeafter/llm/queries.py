@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beforeafter.llm import (
-    bpe, html_text, licenses, lm_scoring, mixing, quality_classifier, quality_rules, sharding, simhash, spelling, text,
-    url_rules, vector_dedup,
+    bpe, html_text, licenses, lm_scoring, mixing, prefix_trie, quality_classifier, quality_rules, sharding, simhash, spelling,
+    text, url_rules, vector_dedup,
 )
 from beforeafter.staging import broadcast_if_small, stage
 
@@ -19,6 +19,8 @@ URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 N_SHARDS = 8
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 GOOD_SCORE = 0.7
+#: Fixed value of the conversation contract: ids from one multiple to the next.
+FAMILY = 20
 #: Fixed values of the spelling contract.
 LEAST_LETTERS, LEAST_COUNT, SLIP_EVERY = 6, 5, 199
 
@@ -122,6 +124,16 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, each with its family's first turns."""
+    conv = F.col("conv_id")
+    head = F.crc32(conv.cast("string")) % 4
+    turns, convs = prefix_trie.grafted(
+        prefix_trie.coded_turns(table(spark, sf_dir, "conversations")), conv - conv % FAMILY, head, most=3
+    )
+    return prefix_trie.nodes(stage(turns, "trie-grafted"), convs)
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -148,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_license_scan": op12_license_scan,
     "op13_spelling": op13_spelling,
 }
