@@ -136,7 +136,8 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
-    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    scanned = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scanned.withColumn("score", F.round("score", 6))
 
 
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
