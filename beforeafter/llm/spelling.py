@@ -17,6 +17,8 @@ from beforeafter.staging import broadcast_if_small, stage
 #: lengths one apart (in one place).
 REPLACED_PARTS = 4
 SHIFTED_PARTS = 2
+#: Words whose signatures one task makes.
+TASK_WORDS = 20_000
 
 
 def runs(text: Column, least: int) -> Column:
@@ -96,7 +98,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
         dims: dict[tuple[str, int], int] = {}
         return pd.Series([list(signatures(w, dims)) for w in found])
 
-    signed = words.select("word", "n", F.explode(keys("word")).alias("key"))
+    # A vocabulary is small beside its signatures: deal it by rows, not by bytes.
+    tasks = words.count() // TASK_WORDS + 1
+    signed = words.repartition(tasks, "word").select("word", "n", F.explode(keys("word")).alias("key"))
     a = signed.select("key", F.col("word").alias("a"), F.col("n").alias("a_n"))
     b = signed.select("key", F.col("word").alias("b"), F.col("n").alias("b_n"))
     # A merge join: the planner takes an explode for no larger than its input, and a
