@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -61,15 +61,22 @@ def fit_axes(reference_rows: DataFrame, k: int = 2, max_rounds: int = 500) -> Ax
     """
     size = reference_rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("z")).alias("d")).first()
     n, d = size["n"], size["d"] or 0
-    if k > d:
-        raise ValueError(f"{k} axes need as many indicators, there are {d}")
     means = reference_rows.select(F.posexplode("z").alias("slot", "x")).groupBy("slot").agg(F.avg("x").alias("m"))
     centre = np.zeros(d)
     for r in means.collect():
         centre[r["slot"]] = r["m"]
+    return iterate(lambda block: _product(reference_rows, block), centre, n, k, max_rounds)
+
+
+def iterate(product: Callable[[np.ndarray], np.ndarray], centre: np.ndarray, n: int, k: int, max_rounds: int = 500) -> Axes:
+    """The axes of ``n`` rows of mean ``centre``; ``product`` gives the sum over the rows of
+    z times (z block), in one pass."""
+    d = len(centre)
+    if k > d:
+        raise ValueError(f"{k} axes need as many indicators, there are {d}")
     block, _ = np.linalg.qr(np.random.default_rng(3).standard_normal((d, min(d, k + SPARE))))
     for _ in range(max_rounds):
-        image = (_product(reference_rows, block) - n * np.outer(centre, centre @ block)) / max(n - 1, 1)
+        image = (product(block) - n * np.outer(centre, centre @ block)) / max(n - 1, 1)
         values, turn = np.linalg.eigh((block.T @ image + image.T @ block) / 2)
         order = np.argsort(-values)
         axes, mapped, values = block @ turn[:, order], image @ turn[:, order], values[order]

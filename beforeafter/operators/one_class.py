@@ -86,14 +86,18 @@ def fit_boundary(
     Above ``fit_rows`` rows the fit takes those with the least hashes of ``z`` (ties by
     ``z`` itself): the same rows whatever their order or partitions.
     """
-    size = reference_rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("z")).alias("d")).first()
+    size = reference_rows.agg(F.count(F.lit(1)).alias("n")).first()
     if not size["n"]:
         raise ValueError("no reference rows")
-    gamma = 1.0 / size["d"] if gamma is None else gamma
     # At most fit_rows rows reach the driver.
     chosen = reference_rows.select("z").orderBy(F.xxhash64("z"), "z").limit(fit_rows).collect()
-    points = np.array([r["z"] for r in chosen], dtype=float)
+    return fit_points(np.array([r["z"] for r in chosen], dtype=float), size["n"], nu, gamma, tol)
+
+
+def fit_points(points: np.ndarray, rows_seen: int, nu: float, gamma: float | None, tol: float) -> Boundary:
+    """The boundary of rows on the driver, chosen from ``rows_seen``."""
     n = len(points)
+    gamma = 1.0 / points.shape[1] if gamma is None else gamma
     gram = _kernel(points, points, gamma)
     cap = 1.0 / (nu * n)
     alpha, gap = smallest_mean(gram, cap, tol)
@@ -106,7 +110,7 @@ def fit_boundary(
         ends = [e for e in (full.max() if len(full) else None, none.min() if len(none) else None) if e is not None]
         threshold = float(np.mean(ends))
     used = alpha > 0
-    return Boundary(gamma, points[used], alpha[used], float(threshold), gap, size["n"], n)
+    return Boundary(gamma, points[used], alpha[used], float(threshold), gap, rows_seen, n)
 
 
 def add_label(rows: DataFrame, boundary: Boundary) -> DataFrame:

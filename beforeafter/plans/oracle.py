@@ -150,8 +150,9 @@ placed AS (SELECT side, entity, t * axis_1 AS axis_1, axis_2 FROM flat, turn)"""
 
 # Weights of the shortest mean in the kernel's space: each step moves weight from the worst
 # place that has some to the best that has room, until they are 1e-12 apart.
-_BOUNDARY = """refs AS (SELECT row_number() OVER (ORDER BY entity, event_at) AS i, z FROM zs WHERE side = 'r'),
-size AS (SELECT count(*) AS n, 1.0 / (0.05 * count(*)) AS cap, 1.0 / max(len(z)) AS gamma FROM refs),
+def _descent(cap: str) -> str:
+    return """refs AS (SELECT row_number() OVER (ORDER BY entity, event_at) AS i, z FROM zs WHERE side = 'r'),
+size AS (SELECT count(*) AS n, """ + cap + """ AS cap, 1.0 / max(len(z)) AS gamma FROM refs),
 gram AS (SELECT list(r ORDER BY i) AS g FROM (
   SELECT a.i, list(exp(-gamma * list_distance(a.z, b.z) ** 2) ORDER BY b.i) AS r FROM refs a, refs b, size GROUP BY a.i)),
 descent AS (
@@ -166,7 +167,10 @@ descent AS (
                            list_transform(s, lambda x, p: CASE WHEN a[p] > 1e-14 THEN x ELSE -1e300 END) AS down
                     FROM descent, gram, size WHERE gap > 1e-12)))),
 fitted AS (SELECT a FROM descent ORDER BY k DESC LIMIT 1),
-own AS (SELECT i, a[i] AS w, list_dot_product(g[i], a) AS score FROM refs, fitted, gram),
+own AS (SELECT i, a[i] AS w, list_dot_product(g[i], a) AS score FROM refs, fitted, gram)"""
+
+
+_BOUNDARY = f"""{_descent('1.0 / (0.05 * count(*))')},
 ends AS (SELECT avg(score) FILTER (w > cap * 1e-8 AND w < cap * (1 - 1e-8)) AS free,
                 max(score) FILTER (w >= cap * (1 - 1e-8)) AS top, min(score) FILTER (w <= cap * 1e-8) AS bottom FROM own, size),
 threshold AS (SELECT coalesce(free, (coalesce(top, bottom) + coalesce(bottom, top)) / 2) AS limit_at FROM ends),
@@ -174,6 +178,14 @@ decided AS (
   SELECT c.entity, sum(w * exp(-gamma * list_distance(c.z, r.z) ** 2)) - any_value(limit_at) AS decision
   FROM (SELECT entity, z FROM zs WHERE side = 'c') c, refs r JOIN own USING (i), size, threshold GROUP BY c.entity)"""
 
+# The shortest mean without a cap is the centre of the smallest ball.
+_BALL = f"""{_descent('1.0')},
+self_product AS (SELECT sum(w * score) AS own, sqrt(1 - sum(w * score)) AS radius FROM own),
+decided AS (
+  SELECT c.entity, any_value(radius) AS radius,
+         sqrt(greatest(1 + any_value(own) - 2 * sum(w * exp(-gamma * list_distance(c.z, r.z) ** 2)), 0)) AS distance
+  FROM (SELECT entity, z FROM zs WHERE side = 'c') c, refs r JOIN own USING (i), size, self_product GROUP BY c.entity)"""
+
 _GIVEN = f"""spent AS (SELECT o_custkey, sum({_cents('o_totalprice')}) AS c, count(*) AS n FROM orders GROUP BY o_custkey),
 custs AS (SELECT CAST(c_custkey AS VARCHAR) AS entity, c_nationkey, CAST(c AS DOUBLE) AS c, CAST(n AS DOUBLE) AS n,
           CASE WHEN c_acctbal < 0 THEN -1 ELSE 1 END AS anomaly_label FROM customer JOIN spent ON c_custkey = o_custkey),
@@ -202,6 +214,8 @@ _LANDED = """landed AS (
          CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS price,
          CASE WHEN o_orderstatus = 'F' THEN 'many' ELSE '3' END AS lines, o_orderstatus AS status FROM orders)"""
 
+_CODES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", *(f"B.Brand#{n}" for n in range(1, 26))]
+
 ORACLE = {
     "panel_union": f"WITH {_PANEL} SELECT source, entity, indicator, time, {r4('value')} AS value FROM panel",
     "panel_profile": f"""WITH {_PANEL}
@@ -210,6 +224,11 @@ SELECT source, count(*) AS n_rows, count(DISTINCT indicator) AS n_indicators, co
 FROM panel WHERE time BETWEEN 1996 * 12 + 1 AND 2000 * 12 + 12 GROUP BY source""",
     "unpivot_wide_months": f"""WITH {_BUYERS}, {_P_ORD}
 SELECT entity, indicator, time, {r4('value')} AS value FROM p_ord WHERE value IS NOT NULL""",
+    "json_large_documents": """WITH sums AS (
+  SELECT event_type, user_id, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS day,
+         sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k FROM events GROUP BY ALL)
+SELECT CAST(user_id AS VARCHAR) AS entity, event_type AS indicator, count(*) AS n, CAST(sum(k) AS DOUBLE) AS total,
+       CAST(min(day) AS INTEGER) AS first, CAST(max(day) AS INTEGER) AS last FROM sums GROUP BY ALL""",
     "json_props_flatten": """
 SELECT CAST(user_id AS VARCHAR) AS entity, event_type AS indicator,
        CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS time,
@@ -253,10 +272,28 @@ SELECT {_CHANGE_COLUMNS} FROM change JOIN first_key USING (entity, event_at, ind
 SELECT entity, event_at, indicator, {r4('avg_value')} AS avg_value, n_values FROM means""",
     "feature_missing_counts": f"WITH {_DENSE} SELECT indicator, n_rows, n_missing FROM missing",
     "feature_null_filter": f"WITH {_DENSE} SELECT entity, event_at, indicator, {r4('avg_value')} AS avg_value, n_values FROM dense",
+    # A view needs the columns spelled out: five priorities and 25 brands.
     "feature_matrix_wide": f"""WITH {_PANEL}, {_E_NAT}, {_means('panel', 6)}
 SELECT * FROM (PIVOT (SELECT entity, event_at, indicator, {r4('avg_value')} AS v FROM means)
-               ON indicator USING any_value(v) GROUP BY entity, event_at)""",
+               ON indicator IN ({", ".join(f"'{c}'" for c in _CODES)}) USING any_value(v) GROUP BY entity, event_at)""",
+    "events_from_csv": f"""WITH {_PANEL}, ev AS (
+  SELECT n_name AS entity, CAST(1998 * 12 + n_nationkey AS INTEGER) AS event_at FROM nation WHERE n_regionkey <> 2),
+{_means('panel', 6)}
+SELECT entity, event_at, indicator, {r4('avg_value')} AS avg_value, n_values FROM means""",
+    "activity_around_purchase": f"""
+SELECT p.event_id AS purchase, a.event_type, count(*) AS n, CAST(sum({_cents('a.value')}) AS DOUBLE) / 100.0 AS total,
+       max(epoch_us(a.ts) - epoch_us(p.ts)) FILTER (WHERE a.ts < p.ts) AS nearest_before
+FROM events p JOIN events a ON a.user_id = p.user_id AND a.ts BETWEEN p.ts - INTERVAL 1 DAY AND p.ts + INTERVAL 6 HOUR
+WHERE p.event_type = 'purchase' GROUP BY p.event_id, a.event_type""",
+    "activity_between_signups": f"""WITH spans AS (
+  SELECT user_id, event_id AS signup, epoch_us(ts) AS start_at,
+         coalesce(lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id), epoch_us(ts) + 86400000000) - 1 AS end_at
+  FROM events WHERE event_type = 'signup')
+SELECT signup, count(*) AS n, CAST(sum({_cents('value')}) AS DOUBLE) / 100.0 AS total, max(end_at) AS "end"
+FROM spans s JOIN events a ON a.user_id = s.user_id AND epoch_us(a.ts) BETWEEN start_at AND end_at AND event_type <> 'signup'
+GROUP BY signup""",
     "correlation_pairs": f"WITH {_PAIRS} SELECT a, b, n_rows, {r4('r')} AS r FROM pairs",
+    "correlation_above": f"WITH {_PAIRS} SELECT a, b, n_rows, {r4('r')} AS r FROM pairs WHERE abs(r) > 0.9",
     "correlation_kept": f"""WITH {_PAIRS}
 SELECT entity, event_at, indicator, {r4('avg_value')} AS avg_value, n_values FROM dense
 WHERE indicator NOT IN (SELECT b FROM pairs WHERE abs(r) > 0.9)""",
@@ -275,6 +312,8 @@ SELECT entity, {r4('axis_1')} AS axis_1, {r4('axis_2')} AS axis_2 FROM placed WH
 SELECT entity, {r4('decision')} AS decision, CASE WHEN decision > 1e-9 THEN 1 ELSE -1 END AS anomaly_label FROM decided""",
     "one_class_score_features": f"""WITH RECURSIVE {_scaled(_SIGNUPS)}, {_BOUNDARY}
 SELECT entity, {r4('decision')} AS decision, CASE WHEN decision > 1e-9 THEN 1 ELSE -1 END AS anomaly_label FROM decided""",
+    "enclosing_ball": f"""WITH RECURSIVE {_scaled(_SIGNUPS)}, {_BALL}
+SELECT entity, {r4('distance')} AS distance, CASE WHEN distance <= radius + 1e-9 THEN 1 ELSE -1 END AS anomaly_label FROM decided""",
     "candidate_scores": f"""WITH RECURSIVE {_scaled(_SIDES)}, {_AXES}, {_BOUNDARY},
 figures AS (SELECT avg(1.5 * axis_1 + axis_2) AS mid, min(1.5 * axis_1 + axis_2) AS lo, max(1.5 * axis_1 + axis_2) AS hi
             FROM placed WHERE side = 'r'),
@@ -322,6 +361,10 @@ SELECT entity, readiness_score, CAST(rank() OVER (ORDER BY readiness_score DESC)
     "indicator_over_event_time": f"""WITH {_PANEL}, {_E_NAT}, {_change()}
 SELECT {_CHANGE_COLUMNS}, CASE WHEN indicator = '1-URGENT' THEN 'Orders 1-URGENT' ELSE indicator END AS indicator_name
 FROM change WHERE indicator IN ('1-URGENT', '5-LOW', 'B.Brand#7')""",
+    "entity_over_event_time": f"""WITH {_PANEL}, {_E_NAT}, {_change()}
+SELECT {_CHANGE_COLUMNS}, CASE WHEN indicator < '4' THEN 'Orders ' || indicator
+       WHEN source = 'LI' THEN 'The ''' || substr(indicator, 3) || ''' mean price' ELSE indicator END AS indicator_name
+FROM change WHERE entity IN ('NATION_3', 'NATION_11')""",
     "conform_rows": f"""WITH {_LANDED}
 SELECT TRY_CAST(order_id AS BIGINT) AS order_id, TRY_CAST(price AS DOUBLE) AS price, TRY_CAST(lines AS INTEGER) AS lines,
        CAST(NULL AS VARCHAR) AS note
@@ -354,4 +397,19 @@ UNION ALL SELECT 'orders', 'o_orderpriority', true, true, count(*), count(o_orde
 SELECT 'fact' AS name, count(*) AS n_rows FROM win
 UNION ALL SELECT 'scores', count(*) FROM given
 UNION ALL SELECT 'entities', count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "profile_from_slices": f"""WITH {_P_RAW}
+SELECT indicator, count(*) AS n_rows, min(time) AS first_time, max(time) AS last_time, count(*) - count(value) AS n_valueless,
+       count(DISTINCT entity) AS exact_entities, TRUE AS within_error FROM p_raw GROUP BY indicator""",
+    "orders_of_versions": f"""WITH o AS (
+  SELECT o_orderstatus, o_orderkey, CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice) ELSE o_totalprice END AS price,
+         CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS priority,
+         CASE WHEN o_orderstatus = 'O' THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) WHEN o_orderstatus = 'P' THEN o_orderdate END AS placed
+  FROM orders WHERE o_orderstatus IN ('F', 'O', 'P'))
+SELECT o_orderstatus, count(o_orderkey) AS n, CAST(sum({_cents('price')}) AS DOUBLE) / 100.0 AS total, count(priority) AS n_priorities,
+       strftime(max(placed), '%Y-%m-%d %H:%M:%S') AS last_placed, 'bigint,double,timestamp_ntz' AS types FROM o GROUP BY o_orderstatus""",
+    "published_after_rollback": f"""WITH {_GIVEN}
+SELECT count(*) + count(*) FILTER (readiness < 60) AS n_rows, 2 AS n_cleared, count(*) FILTER (readiness < 60) AS n_live,
+       {r4('max(readiness) FILTER (readiness < 60)')} AS highest FROM given""",
 }
+ORACLE["candidate_scores_sparse"] = ORACLE["candidate_scores"]
+ORACLE["event_window_bucketed"] = ORACLE["event_window"]

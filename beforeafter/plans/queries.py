@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beforeafter.functions import quoted, time_index
-from beforeafter.operators import correlation, dimensions, features, reports, score, snapshots, windows
+from beforeafter.operators import correlation, dimensions, features, intervals, reports, score, snapshots, windows
 from beforeafter.operators.axes import anchored, fit_axes, project
+from beforeafter.operators.enclosing import add_distance, fit_ball
 from beforeafter.operators.one_class import add_label, fit_boundary
 from beforeafter.operators.scaling import scaled_long
 from beforeafter.plans.features import dense_features, training_features
@@ -24,7 +27,9 @@ from beforeafter.plans.supplied import (
     table,
     total,
 )
-from beforeafter.sinks import conform, load, loaded, publish, write_sorted
+from beforeafter.sinks import conform, load, loaded, publish, published, write_sorted
+from beforeafter.sinks.bucketed import bucketed_window, write_bucketed
+from beforeafter.sinks.retention import clear, rollback
 from beforeafter.sources import (
     between_times,
     catalogue_labels,
@@ -42,7 +47,10 @@ from beforeafter.sources import (
     unpivot_times,
     wanted_entities,
 )
-from beforeafter.sources.panel import only_entities
+from beforeafter.sources.large_json import split_documents
+from beforeafter.sources.panel import only_entities, read_events
+from beforeafter.sources.profiles import STATED_ERROR, refresh_profiles, united_profile
+from beforeafter.sources.versions import read_versions
 from beforeafter.staging import run_dir, shared_dir, stage
 
 # Features that the null and correlation filters bite on: two months before the event.
@@ -74,6 +82,22 @@ def panel_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile(between_times(_panel(spark, d), 1996 * 12 + 1, 2000 * 12 + 12), by="source")
 
 
+def profile_from_slices(spark: SparkSession, d: str) -> DataFrame:
+    """The profile of activity from weekly slices, stored in two goes and united; whether
+    its estimates stay within their stated error of the exact counts."""
+    panel = stage(raw_activity(spark, d), "activity")
+    root = f"{run_dir(spark)}/profiles-{uuid.uuid4().hex}"
+    first_half = panel.agg(((F.min("time") + F.max("time")) / 2).cast("int").alias("t")).first()["t"]
+    refresh_profiles(panel.filter(F.col("time") <= F.lit(first_half)), root, by="indicator", width=7)
+    united = united_profile(refresh_profiles(panel, root, by="indicator", width=7), by="indicator")
+    exact = profile(panel, by="indicator").select("indicator", F.col("n_entities").alias("exact_entities"))
+    off = F.abs(F.col("n_entities") - F.col("exact_entities"))
+    return united.join(exact, "indicator").select(
+        "indicator", "n_rows", "first_time", "last_time", "n_valueless", "exact_entities",
+        (off <= F.lit(STATED_ERROR) * F.col("exact_entities")).alias("within_error"),
+    )
+
+
 def unpivot_wide_months(spark: SparkSession, d: str) -> DataFrame:
     wide = (
         stage(orders_panel(spark, d), "orders")
@@ -99,6 +123,34 @@ def json_props_flatten(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def json_large_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Activity written as one nested document per thousand users, type → user → day →
+    sum of ``k``, and read back from byte ranges."""
+    day = time_index(F.col("ts"), "day")
+    k = F.get_json_object("props", "$.k").cast("long")
+    sums = table(spark, d, "events").groupBy("event_type", "user_id", day.alias("day")).agg(F.sum(k).alias("k"))
+    # One object per user: at most as many members as there are days.
+    days = F.array_sort(F.collect_list(F.concat(F.lit('"'), F.col("day"), F.lit('":'), F.col("k"))))
+    users = sums.groupBy(F.expr("user_id div 1000").alias("doc"), "event_type", "user_id").agg(days.alias("days"))
+    line = F.concat(F.lit(',"'), F.col("user_id"), F.lit('":{"a,b":"x}", '), F.array_join("days", ", "), F.lit("}"))
+    users = users.select("doc", "event_type", F.lit(1).alias("part"), "user_id", line.alias("line"))
+    types = users.select("doc", "event_type").distinct()
+    none = F.lit(None).cast("long")
+    opened = types.select("doc", "event_type", F.lit(0), none, F.concat(F.lit(',"'), "event_type", F.lit('": {"none": 7')))
+    closed = types.select("doc", "event_type", F.lit(2), none, F.lit("}"))
+    whole = types.select("doc").distinct()
+    head = whole.select("doc", F.lit(""), F.lit(0), none, F.lit('{"note": "a, {b", "values": {"none": [1, 2]'))
+    foot = whole.select("doc", F.lit("~"), F.lit(2), none, F.lit("}}"))
+    lines = users.union(opened).union(closed).union(head).union(foot)
+    path = f"{run_dir(spark)}/large-json-{uuid.uuid4().hex}"
+    ordered = lines.repartition("doc").sortWithinPartitions("doc", "event_type", "part", "user_id")
+    ordered.select("doc", "line").write.partitionBy("doc").text(path)
+    read = nested_observations(split_documents(spark, path, chunk_chars=1 << 16))
+    return read.groupBy("entity", "indicator").agg(
+        F.count("value").alias("n"), F.sum("value").alias("total"), F.min("time").alias("first"), F.max("time").alias("last")
+    )
+
+
 def json_catalogue_labels(spark: SparkSession, d: str) -> DataFrame:
     """One catalogue per activity row; clicks come without a label."""
     field = F.when(F.col("event_type") != "click", _text('"label":"kind ', "event_type", '"')).otherwise('"unit":"t"')
@@ -159,6 +211,14 @@ def event_window_dense(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(windows.event_window(_panel(spark, d), nation_events(spark, d), how="left"), "value")
 
 
+def event_window_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The same on a panel stored by entity and time, which the join does not move."""
+    name = f"panel_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    panel = write_bucketed(_panel(spark, d), name, buckets, f"{run_dir(spark)}/{name}")
+    return _rounded(bucketed_window(panel, nation_events(spark, d)), "value")
+
+
 def _change(spark: SparkSession, d: str) -> DataFrame:
     # Both panels are grouped by the panel key, so a series has one row per month.
     return windows.event_window_change(_panel(spark, d), nation_events(spark, d), unique_times=True)
@@ -197,6 +257,34 @@ def pre_event_mean(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(windows.pre_event_means(_panel(spark, d), nation_events(spark, d)), "avg_value")
 
 
+def _moments(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_id", "user_id", "event_type", "value", intervals.micros(F.col("ts")).alias("at"))
+
+
+def activity_around_purchase(spark: SparkSession, d: str) -> DataFrame:
+    """What each user did from a day ahead of a purchase to six hours behind it, to the
+    microsecond: rows, value and the nearest moment ahead, by kind."""
+    rows = _moments(spark, d)
+    bought = rows.filter(F.col("event_type") == "purchase").select("user_id", F.col("event_id").alias("purchase"), F.col("at").alias("bought_at"))
+    met = intervals.band_join(rows, bought, ["user_id"], "at", "bought_at", 86_400_000_000, 21_600_000_000)
+    return met.groupBy("purchase", "event_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        total(F.col("value")).alias("total"),
+        F.max(F.when(F.col("distance") < 0, F.col("distance"))).alias("nearest_before"),
+    )
+
+
+def activity_between_signups(spark: SparkSession, d: str) -> DataFrame:
+    """Activity of each user from one signup until just before the next, however long
+    that is; the last one lasts a day."""
+    rows = _moments(spark, d)
+    signups = rows.filter(F.col("event_type") == "signup").select("user_id", F.col("event_id").alias("signup"), F.col("at").alias("start"))
+    following = F.lead("start").over(Window.partitionBy("user_id").orderBy("start", "signup"))
+    spans = signups.withColumn("end", F.coalesce(following, F.col("start") + 86_400_000_000) - 1)
+    met = intervals.interval_join(rows.filter(F.col("event_type") != "signup"), spans, ["user_id"], "at", "start", "end")
+    return met.groupBy("signup").agg(F.count(F.lit(1)).alias("n"), total(F.col("value")).alias("total"), F.max("end").alias("end"))
+
+
 def _flag_panel(spark: SparkSession, d: str) -> DataFrame:
     return items_panel(spark, d, by_flag=True)
 
@@ -224,6 +312,12 @@ def correlation_pairs(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(correlation.correlation_pairs(kept), "r")
 
 
+def correlation_above(spark: SparkSession, d: str) -> DataFrame:
+    """Only the pairs above the threshold, found without working out all of them."""
+    kept = dense_features(_flag_panel(spark, d), nation_events(spark, d), FEATURE_MONTHS)
+    return _rounded(correlation.correlated_pairs(kept, 0.9).pairs, "r")
+
+
 def correlation_kept(spark: SparkSession, d: str) -> DataFrame:
     kept = training_features(_flag_panel(spark, d), nation_events(spark, d), FEATURE_MONTHS)
     return _rounded(kept, "avg_value")
@@ -249,16 +343,15 @@ def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Reference snapshots at the events and candidate snapshots at the end of each
     source, each reduced from the panel by itself: the panel is not written."""
     panel = _panel(spark, d)
-    reference = snapshots.snapshot_at_event(panel, nation_events(spark, d))
-    return stage(reference, "reference"), stage(snapshots.snapshot_latest(panel, "per_source"), "candidates")
+    return snapshots.snapshot_at_event(panel, nation_events(spark, d)), snapshots.snapshot_latest(panel, "per_source")
 
 
 def _prepared(reference: DataFrame, candidates: DataFrame) -> Prepared:
-    return prepare(reference, candidates)
+    return prepare(stage(reference, "reference"), stage(candidates, "candidates"))
 
 
 def common_indicators(spark: SparkSession, d: str) -> DataFrame:
-    return features.common_indicators(*_sides(spark, d))
+    return features.common_indicators(*[stage(side, "side") for side in _sides(spark, d)])
 
 
 def signed_log_scaled(spark: SparkSession, d: str) -> DataFrame:
@@ -288,18 +381,33 @@ def one_class_score(spark: SparkSession, d: str) -> DataFrame:
 def one_class_score_features(spark: SparkSession, d: str) -> DataFrame:
     """Many reference rows and more candidates: user and day rows against signup days."""
     panel = activity_panel(spark, d)
-    reference = stage(snapshots.snapshot_at_event(panel, _signups(spark, d)), "reference")
+    reference = snapshots.snapshot_at_event(panel, _signups(spark, d))
     candidates = panel.select(F.concat_ws("@", "entity", "time").alias("entity"), "indicator", "value")
-    ready = _prepared(reference, stage(candidates, "candidates"))
+    ready = _prepared(reference, candidates)
     boundary = fit_boundary(stage(ready.reference_rows, "reference-rows"))
     return _rounded(add_label(ready.candidate_rows, boundary).drop("z"), "decision")
 
 
+def enclosing_ball(spark: SparkSession, d: str) -> DataFrame:
+    """User and day rows against the ball around all signup days: distance and label."""
+    panel = activity_panel(spark, d)
+    reference = snapshots.snapshot_at_event(panel, _signups(spark, d))
+    candidates = panel.select(F.concat_ws("@", "entity", "time").alias("entity"), "indicator", "value")
+    ready = _prepared(reference, candidates)
+    ball = fit_ball(stage(ready.reference_rows, "reference-rows"), epsilon=1e-11)
+    return _rounded(add_distance(ready.candidate_rows, ball).drop("z"), "distance")
+
+
 def candidate_scores(spark: SparkSession, d: str) -> DataFrame:
     """Everything together: axes, boundary and readiness of every nation."""
     return score_candidates(*_sides(spark, d), anchors=("NATION_1", "NATION_2")).scores
 
 
+def candidate_scores_sparse(spark: SparkSession, d: str) -> DataFrame:
+    """The same on rows of known values alone."""
+    return score_candidates(*_sides(spark, d), anchors=("NATION_1", "NATION_2"), sparse=True).scores
+
+
 def _given_axes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Two plain axes per customer, and their means per nation as reference."""
     orders = table(spark, d, "orders")
@@ -405,6 +513,28 @@ def indicator_over_event_time(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(shown, "value", "baseline_value", "pct_change")
 
 
+def entity_over_event_time(spark: SparkSession, d: str) -> DataFrame:
+    """The drill-down: all series of two entities over event time."""
+    names = [(_priority_labels(spark, d), "ORD"), (_brand_labels(spark, d), "LI")]
+    codes = names[0][0].unionByName(names[1][0]).select(F.col("code").alias("indicator"))
+    shown = reports.over_event_time(_change(spark, d), dimensions.dim_indicator(codes, names), entities=["NATION_3", "NATION_11"])
+    return _rounded(shown, "value", "baseline_value", "pct_change")
+
+
+def events_from_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Events landed as CSV with their columns in another order, read by header: pre-event
+    means of the nations that they name. Repeated and unreadable rows are no events."""
+    nations = table(spark, d, "nation")
+    year = F.when(F.col("n_regionkey") == 2, "soon").otherwise((F.lit(1998 * 12) + F.col("n_nationkey")).cast("string"))
+    landed = nations.select(
+        F.concat(F.lit('host, "'), F.lower("n_name"), F.lit('"')).alias("notes"), year.alias("month"), F.lit("no").alias("co_hosted"), F.col("n_name").alias("economy")
+    )
+    path = f"{run_dir(spark)}/events-csv-{uuid.uuid4().hex}"
+    landed.union(landed.filter(F.col("economy") < "K")).write.option("header", True).option("escape", '"').csv(path)
+    means = windows.pre_event_means(_panel(spark, d), read_events(spark, path, "economy", "month"))
+    return _rounded(means, "avg_value")
+
+
 # --- sinks -------------------------------------------------------------------
 
 _ORDER_TARGET = T.StructType(
@@ -487,6 +617,28 @@ def infer_schema(spark: SparkSession, d: str) -> DataFrame:
     return schema_of(spark, path).join(counts, "name")
 
 
+def orders_of_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Orders written by three versions of a job: whole prices, then cents, priorities and
+    days, then moments and a name in capitals. Read as one table."""
+    orders = table(spark, d, "orders")
+    path = f"{run_dir(spark)}/versions-{uuid.uuid4().hex}"
+    key, price, day = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderdate")
+    written = {
+        "F": [key.cast("int").alias("id"), F.floor(price).cast("int").alias("price"), "o_orderstatus"],
+        "O": [key.alias("id"), price.alias("price"), "o_orderstatus", "o_orderpriority", day.cast("date").alias("placed")],
+        "P": [key.alias("ID"), price.alias("PRICE"), "o_orderstatus", day.alias("placed")],
+    }
+    for status, columns in written.items():
+        orders.filter(F.col("o_orderstatus") == status).select(*columns).write.parquet(f"{path}/version={status}")
+    return read_versions(spark, path).groupBy("o_orderstatus").agg(
+        F.count("id").alias("n"),
+        total(F.col("price")).alias("total"),
+        F.count("o_orderpriority").alias("n_priorities"),
+        F.date_format(F.max("placed"), "yyyy-MM-dd HH:mm:ss").alias("last_placed"),
+        F.concat_ws(",", F.typeof(F.any_value("id")), F.typeof(F.any_value("price")), F.typeof(F.any_value("placed"))).alias("types"),
+    )
+
+
 def input_report_orders(spark: SparkSession, d: str) -> DataFrame:
     wanted = T.StructType(
         [
@@ -506,17 +658,37 @@ def publish_manifest(spark: SparkSession, d: str) -> DataFrame:
     return manifest.select("name", "n_rows")
 
 
+def published_after_rollback(spark: SparkSession, d: str) -> DataFrame:
+    """Four runs published, the last taken back and the oldest ones cleared: what is live,
+    and how many runs still have files."""
+    scores = stage(_given_scores(spark, d).select("entity", "readiness"), "scores")
+    root = f"{run_dir(spark)}/published-{uuid.uuid4().hex}"
+    for limit in (20, 40, 60, 80):
+        publish(spark, root, {"scores": scores.filter(F.col("readiness") < limit), "all": scores})
+    manifest = rollback(spark, root)
+    cleared = clear(spark, root, keep=2)
+    low = published(spark, root, "scores").agg(F.count(F.lit(1)).alias("n_live"), F.max("readiness").alias("highest"))
+    n_cleared = cleared.count()
+    return low.select(
+        F.lit(manifest.agg(F.sum("n_rows")).first()[0]).alias("n_rows"), F.lit(n_cleared).cast("long").alias("n_cleared"), "n_live",
+        r4(F.col("highest")).alias("highest"),
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         panel_union,
         panel_profile,
+        profile_from_slices,
         unpivot_wide_months,
         json_props_flatten,
+        json_large_documents,
         json_catalogue_labels,
         iso_like_filter,
         entity_filter_fallback,
         event_window,
+        event_window_bucketed,
         event_window_users,
         event_window_dense,
         event_window_change,
@@ -524,10 +696,14 @@ QUERIES = {
         event_window_change_mixed,
         event_window_sample,
         pre_event_mean,
+        events_from_csv,
+        activity_around_purchase,
+        activity_between_signups,
         feature_missing_counts,
         feature_null_filter,
         feature_matrix_wide,
         correlation_pairs,
+        correlation_above,
         correlation_kept,
         snapshot_latest,
         snapshot_latest_per_source,
@@ -537,7 +713,9 @@ QUERIES = {
         pca_axes,
         one_class_score,
         one_class_score_features,
+        enclosing_ball,
         candidate_scores,
+        candidate_scores_sparse,
         readiness_score,
         status_report,
         dim_indicator,
@@ -545,6 +723,7 @@ QUERIES = {
         score_by_region,
         top_ranked,
         indicator_over_event_time,
+        entity_over_event_time,
         conform_rows,
         rejected_rows,
         load_report,
@@ -552,7 +731,9 @@ QUERIES = {
         event_fault_rows,
         fact_in_file_order,
         infer_schema,
+        orders_of_versions,
         input_report_orders,
         publish_manifest,
+        published_after_rollback,
     )
 }

@@ -12,6 +12,7 @@ from beforeafter.operators.features import common_indicators
 from beforeafter.operators.one_class import Boundary, add_label, fit_boundary
 from beforeafter.operators.scaling import Scaling, reference_stats, scaled_rows
 from beforeafter.operators.score import LEVELS, WEIGHTS, add_readiness, completeness, score_rows
+from beforeafter.operators.sparse import add_label_sparse, fit_axes_sparse, fit_boundary_sparse, offset_of, project_sparse, sparse_rows
 from beforeafter.schema import EVENT_KEYS
 from beforeafter.staging import stage, stage_side
 
@@ -55,22 +56,35 @@ def score_candidates(
     weights: Sequence[float] = WEIGHTS,
     levels: Sequence[float] = LEVELS,
     nu: float = 0.05,
+    sparse: bool = False,
     **boundary_options,
 ) -> Scored:
-    """Fit on reference snapshots, score candidate snapshots.
+    """Fit on reference snapshots, score candidate snapshots, both of which are written
+    once here.
 
     ``anchors`` is the (high, low) pair of candidate ids that pins the first axis.
+    ``sparse`` keeps rows as their known values (``operators.sparse``): for many
+    indicators of which a row has few.
     """
     reference, candidates = stage(reference, "reference"), stage(candidates, "candidates")
     ready = prepare(reference, candidates)
-    ref_rows = stage(ready.reference_rows, "reference-rows")
-    cand_rows = stage(ready.candidate_rows, "candidate-rows")
-    axes = fit_axes(ref_rows, len(weights))
-    boundary = fit_boundary(ref_rows, nu, **boundary_options)
-    ref_axes, cand_axes = project(ref_rows, axes), project(cand_rows, axes)
+    if sparse:
+        offset = offset_of(ready.scaling)
+        ref_rows = stage(sparse_rows(reference, ready.scaling, EVENT_KEYS), "reference-rows")
+        cand_rows = stage(sparse_rows(candidates, ready.scaling, ["entity"]), "candidate-rows")
+        axes = fit_axes_sparse(ref_rows, offset, len(weights))
+        boundary = fit_boundary_sparse(ref_rows, offset, nu, **boundary_options)
+        ref_axes, cand_axes = project_sparse(ref_rows, axes, offset), project_sparse(cand_rows, axes, offset)
+    else:
+        ref_rows = stage(ready.reference_rows, "reference-rows")
+        cand_rows = stage(ready.candidate_rows, "candidate-rows")
+        axes = fit_axes(ref_rows, len(weights))
+        boundary = fit_boundary(ref_rows, nu, **boundary_options)
+        ref_axes, cand_axes = project(ref_rows, axes), project(cand_rows, axes)
     if anchors:
         flat = cand_axes.select("entity", "axis_1")
         ref_axes, cand_axes = (anchored(f, flat, *anchors) for f in (ref_axes, cand_axes))
-    details = add_label(add_readiness(cand_axes, ref_axes, weights, levels), boundary)
+    ready_rows = add_readiness(cand_axes, ref_axes, weights, levels)
+    details = add_label_sparse(ready_rows, boundary, offset) if sparse else add_label(ready_rows, boundary)
     scores = score_rows(details, completeness(candidates, ready.indicators))
-    return Scored(scores, details.drop("z"), axes, boundary)
+    return Scored(scores, details.drop("z", "slots", "deltas"), axes, boundary)

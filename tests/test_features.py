@@ -2,9 +2,10 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from beforeafter.operators.correlation import _summed, correlated_later, correlation_pairs
+from beforeafter.operators.correlation import _needed, _summed, correlated_later, correlated_pairs, correlation_pairs
 from beforeafter.operators.features import common_indicators, missing_counts, null_filter, wide_matrix
 from beforeafter.plans.features import training_features
+from beforeafter.staging import stage
 
 FEATURES = "entity string, event_at int, indicator string, avg_value double"
 
@@ -153,3 +154,57 @@ def test_training_features_end_to_end(spark):
     assert kept == {"a", "c"}
     again = correlation_pairs(out)
     assert again.filter("abs(r) > 0.9").count() == 0
+
+
+def family_wide(seed: int, n: int, families: int, each: int, gaps: float) -> pd.DataFrame:
+    """Families of indicators that follow one course each, some of them turned over."""
+    rng = np.random.default_rng(seed)
+    courses = rng.normal(size=(n, families))
+    data = np.repeat(courses, each, axis=1) + rng.normal(scale=0.15, size=(n, families * each))
+    data *= np.where(rng.random(families * each) < 0.3, -1.0, 1.0) * 10.0 ** rng.integers(-3, 6, size=families * each)
+    data[rng.random(data.shape) < gaps] = np.nan
+    return pd.DataFrame(data, columns=[f"{'AbZ'[j % 3]}.{j}" for j in range(families * each)])
+
+
+@pytest.mark.parametrize(
+    "wide, saves",
+    [
+        (family_wide(1, 150, 30, 8, 0.0), True),
+        (family_wide(2, 300, 30, 8, 0.003), True),
+        (family_wide(3, 60, 5, 6, 0.4), False),
+        (random_wide(4, 50, 40, 0.0), None),
+        (random_wide(5, 12, 20, 0.3), None),
+    ],
+)
+def test_pairs_above_a_threshold_equal_all_pairs(spark, wide, saves):
+    for threshold in (0.9, 0.5):
+        found = correlated_pairs(stage(long(spark, wide), "wide"), threshold, rows_per_block=64, indicators_per_block=16)
+        got = {(r.a, r.b): r.r for r in found.pairs.collect()}
+        want = {p: r for p, r in pandas_pairs(wide).items() if abs(r) > threshold}
+        assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-5 for p in want)
+        assert found.possible == wide.shape[1] * (wide.shape[1] - 1) // 2 and len(want) <= found.made <= found.possible
+        if saves is not None and threshold == 0.9:
+            assert (found.made < found.possible / 2) == saves
+
+
+def test_pairs_above_a_threshold_of_little(spark):
+    none = long(spark, pd.DataFrame({"a": [1.0, 2.0]})).limit(0)
+    assert correlated_pairs(none).pairs.count() == 0
+    few = pd.DataFrame({"a": [1.0, 2.0, 3.0], "b": [5.0, 5.0, 5.0], "c": [-1.0, -2.0, -3.0]})
+    assert [(r.a, r.b, r.r) for r in correlated_pairs(long(spark, few)).pairs.collect()] == [("a", "c", -1.0)]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_bound_on_what_gaps_can_hide(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(400):
+        n = int(rng.integers(5, 80))
+        base = rng.normal(size=n)
+        x, y = base + rng.normal(scale=rng.choice([0.1, 1, 5]), size=n), base + rng.normal(scale=rng.choice([0.1, 1, 5]), size=n)
+        seen = rng.random((2, n)) >= rng.choice([0, 0.02, 0.1, 0.3])
+        if min(seen.sum(1)) < 2 or (both := seen[0] & seen[1]).sum() < 2:
+            continue
+        u, v = (np.where(s, (c - c[s].mean()) / np.sqrt(((c - c[s].mean())[s] ** 2).sum()), 0) for c, s in zip((x, y), seen))
+        r = abs(np.corrcoef(x[both], y[both])[0, 1])
+        peaks, counts = ((u**2).max(), (v**2).max()), (int(seen[0].sum()), int(seen[1].sum()))
+        assert abs(u @ v) >= _needed(n, peaks, counts, r) - 1e-9

@@ -1,13 +1,23 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from beforeafter.functions import interpolate, signed_log
 from beforeafter.operators.axes import anchored, fit_axes, project
 from beforeafter.operators.medians import exact_median
+from beforeafter.operators.enclosing import add_distance, fit_ball
 from beforeafter.operators.one_class import add_label, fit_boundary, smallest_mean
 from beforeafter.operators.scaling import Scaling, reference_stats, scaled_long, scaled_rows
 from beforeafter.operators.score import add_readiness, completeness, evaluate, score_rows
+from beforeafter.operators.sparse import (
+    add_label_sparse,
+    fit_axes_sparse,
+    fit_boundary_sparse,
+    offset_of,
+    project_sparse,
+    sparse_rows,
+)
 from beforeafter.operators.snapshots import snapshot_at_event, snapshot_latest
 from beforeafter.plans.scoring import prepare, score_candidates
 from beforeafter.staging import stage
@@ -296,3 +306,108 @@ def test_score_candidates_equals_numpy(spark):
         assert r.readiness_score == pytest.approx(want[i], abs=0.006)
         assert r.data_completeness == pytest.approx(np.mean(~np.isnan(other[i])), abs=1e-4)
         assert r.anomaly_label in (1, -1)
+
+
+def test_ball_holds_all_reference_rows_within_its_bound(spark):
+    rng = np.random.default_rng(4)
+    train = np.concatenate([rng.normal(size=(8000, 4)), rng.normal(size=(40, 4)) * 4])
+    rows = as_rows(spark, train).repartition(6).cache()
+    ball = fit_ball(rows, epsilon=0.02)
+    distances = np.array([r["distance"] for r in add_distance(rows, ball).collect()])
+    assert ball.rows_seen == 8040 and ball.core_rows < 400 and distances.max() <= 1.02 * ball.radius
+    assert abs(distances.max() - ball.farthest) < 1e-9
+    # The radius is no larger than the least one, which any ball's farthest row bounds.
+    finer = fit_ball(rows, epsilon=0.001)
+    assert ball.radius <= finer.farthest and finer.radius <= ball.farthest and finer.core_rows >= ball.core_rows
+    again = fit_ball(rows.repartition(11), epsilon=0.02)
+    assert np.array_equal(np.sort(again.points, axis=0), np.sort(ball.points, axis=0)) and again.radius == ball.radius
+    labels = {r["anomaly_label"] for r in add_distance(rows, ball).collect()}
+    assert labels == {1}
+    with pytest.raises(ArithmeticError):
+        fit_ball(rows, epsilon=1e-6, max_core=40)
+
+
+def test_ball_equals_the_exact_one_on_few_rows(spark):
+    rng = np.random.default_rng(9)
+    train = rng.normal(size=(70, 5))
+    ball = fit_ball(as_rows(spark, train), epsilon=1e-11)
+    gram = np.exp(-((train[:, None] - train[None]) ** 2).sum(-1) / 5)
+    weights, _ = smallest_mean(gram, 1.0)
+    want = np.sqrt(1 + weights @ gram @ weights - 2 * gram @ weights)
+    got = ball.distances(train)
+    assert np.allclose(got, want, atol=1e-7) and np.isclose(ball.radius, want.max(), atol=1e-9)
+
+
+def test_ball_leaves_a_share_outside(spark):
+    rng = np.random.default_rng(3)
+    rows = as_rows(spark, rng.normal(size=(1000, 3))).cache()
+    for share in (0.05, 0.5, 1.0):
+        ball = fit_ball(rows, epsilon=0.01, outside=share)
+        distances = np.sort(ball.distances(np.array([r["z"] for r in rows.collect()])))
+        allowed = int(share * 1000)
+        assert (distances > ball.limit + 1e-9).sum() <= allowed
+        if share < 1:
+            exact = distances[999 - allowed]
+            assert exact <= ball.limit + 1e-9 and ball.limit - exact <= ball.farthest / 4096**2 + 1e-9
+    same = fit_ball(as_rows(spark, np.ones((50, 3))), outside=0.1)
+    assert same.core_rows == 1 and same.radius == 0 and {r["anomaly_label"] for r in add_distance(as_rows(spark, np.ones((2, 3))), same).collect()} == {1}
+
+
+@pytest.mark.parametrize("gaps", [0.0, 0.3, 0.95])
+def test_sparse_rows_give_the_dense_results(spark, gaps):
+    train, other = sample(21, 60, 130, 12, gaps)
+    other[5, 1:] = np.nan
+    codes = [f"c{j:02}" for j in range(12)]
+    reference, candidates = long_of(spark, train, codes), long_of(spark, other, codes)
+    # A row without any value of a known indicator is one of medians.
+    candidates = candidates.unionByName(spark.createDataFrame([("none", 7, "unknown", 1.0)], REFERENCE))
+    stats = reference_stats(reference, reference.select("indicator").distinct())
+    scaling = Scaling.of(stats)
+    offset = offset_of(scaling)
+    dense = {r["entity"]: np.array(r["z"]) for r in scaled_rows(candidates, scaling, KEYS).collect()}
+    sparse = {r["entity"]: r for r in sparse_rows(candidates, scaling, KEYS).collect()}
+    assert dense.keys() == sparse.keys()
+    for entity, z in dense.items():
+        row = offset.copy()
+        row[sparse[entity]["slots"]] += sparse[entity]["deltas"]
+        assert np.allclose(row, z, atol=1e-12)
+    assert not sparse["none"]["slots"]
+    refs, sparse_refs = stage(scaled_rows(reference, scaling, KEYS), "t"), stage(sparse_rows(reference, scaling, KEYS), "t")
+    axes, sparse_axes = fit_axes(refs, 2), fit_axes_sparse(sparse_refs, offset, 2)
+    assert np.allclose(axes.loadings, sparse_axes.loadings, atol=1e-7)
+    boundary, sparse_boundary = fit_boundary(refs), fit_boundary_sparse(sparse_refs, offset)
+    a = {r["entity"]: r for r in add_label(project(scaled_rows(candidates, scaling, KEYS), axes), boundary).collect()}
+    b = project_sparse(sparse_rows(candidates, scaling, KEYS), sparse_axes, offset)
+    for r in add_label_sparse(b, sparse_boundary, offset).collect():
+        want = a[r["entity"]]
+        assert np.allclose([r["axis_1"], r["axis_2"], r["decision"]], [want["axis_1"], want["axis_2"], want["decision"]], atol=1e-6)
+
+
+def test_sparse_kernel_in_steps_equals_dense(monkeypatch):
+    rng = np.random.default_rng(8)
+    import beforeafter.operators.sparse as sparse
+
+    offset, points, weights = rng.normal(size=40), rng.normal(size=(7, 40)), rng.random(7)
+    slots = [sorted(rng.choice(40, size=k, replace=False).tolist()) for k in (0, 3, 40, 1, 0, 9, 2)]
+    deltas = [rng.normal(size=len(s)).tolist() for s in slots]
+    z = np.tile(offset, (len(slots), 1))
+    for row, s, x in zip(z, slots, deltas):
+        row[s] += x
+    want = np.exp(-0.05 * ((z[:, None] - points[None]) ** 2).sum(-1)) @ weights
+    for numbers in (1, 30, 1 << 21):
+        monkeypatch.setattr(sparse, "STEP_NUMBERS", numbers)
+        got = sparse._kernel_sums(pd.Series(slots), pd.Series(deltas), offset, points, weights, 0.05)
+        assert np.allclose(got, want, atol=1e-12)
+
+
+def test_sparse_rows_take_the_room_of_their_values(spark, tmp_path):
+    codes = [f"c{j:04}" for j in range(2000)]
+    reference = spark.createDataFrame([(f"r{i}", i, c, float(i * (j % 7 + 1))) for i in range(4) for j, c in enumerate(codes)], REFERENCE)
+    scaling = Scaling.of(reference_stats(reference, reference.select("indicator").distinct()))
+    few = spark.createDataFrame([(f"e{i}", i, codes[(i * 31 + j) % 2000], float(i + j)) for i in range(500) for j in range(3)], REFERENCE)
+
+    def stored(df, name):
+        df.coalesce(1).write.option("compression", "none").parquet(f"{tmp_path}/{name}")
+        return sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
+
+    assert stored(sparse_rows(few, scaling, KEYS), "sparse") * 20 < stored(scaled_rows(few, scaling, KEYS), "dense")

@@ -1,10 +1,16 @@
+import os
+import subprocess
+import sys
+
 import pytest
-from check_oracle import compare, connect, plain
+from check_oracle import answer, compare, connect, plain
 
 from __spark_entry__ import entry, oracle_sql, queries
 from beforeafter.plans.oracle import ORACLE
 from beforeafter.plans.queries import QUERIES
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -21,7 +27,7 @@ def test_query_equals_sql(spark, sf_dir, con, name):
     df = queries()[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert compare(plain(df.toPandas()), plain(con.execute(oracle_sql()[name]).df())) == ""
+    assert compare(plain(df.toPandas()), plain(answer(con, oracle_sql()[name]))) == ""
 
 
 @pytest.fixture
@@ -49,9 +55,16 @@ def no_broadcast(spark, monkeypatch):
 def test_query_equals_sql_without_broadcasts(spark, sf_dir, con, no_broadcast, name):
     df = queries()[name](spark, sf_dir)
     assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
-    assert compare(plain(df.toPandas()), plain(con.execute(oracle_sql()[name]).df())) == ""
+    assert compare(plain(df.toPandas()), plain(answer(con, oracle_sql()[name]))) == ""
 
 
 def test_entry(spark):
     df = entry(spark)
     assert df.columns[0] == "entity" and df.count() > 0
+
+
+@pytest.mark.parametrize("missing", ["xxhash", "beforeafter.llm", "beforeafter.llm.queries"])
+def test_core_queries_stay_without_an_optional_library(missing):
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(*e.queries(), *e.oracle_sql())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+    assert set(done.stdout.split()) == set(QUERIES)

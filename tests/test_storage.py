@@ -1,0 +1,193 @@
+"""Stored profiles, bucketed panels, versions of schemas, going back and clearing."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from beforeafter.operators.windows import event_window
+from beforeafter.sinks import publish, published
+from beforeafter.sinks.bucketed import attach_bucketed, bucketed_window, write_bucketed
+from beforeafter.sinks.publish import live_run
+from beforeafter.sinks.retention import clear, reading, rollback, runs
+from beforeafter.sources import profile
+from beforeafter.sources.profiles import STATED_ERROR, refresh_profiles, slice_profiles, united_profile
+from beforeafter.sources.versions import read_versions, schema_groups, united, wider
+
+PANEL = "source string, entity string, indicator string, time int, value double"
+
+
+def panel_of(spark, n, first=0, last=99, seed=1):
+    pick = random.Random(seed)
+    rows = [
+        (pick.choice("ab"), f"e{pick.randint(0, n // 3)}", f"i{pick.randint(0, 40)}", pick.randint(first, last), pick.choice([None, 1.0, 2.5]))
+        for _ in range(n)
+    ]
+    return spark.createDataFrame(rows, PANEL)
+
+
+# Profiles
+
+
+def test_slices_unite_to_the_profile(spark, rows):
+    panel = panel_of(spark, 6000).unionByName(spark.createDataFrame([("a", "x", "y", None, 1.0)], PANEL))
+    for by in ("source", None):
+        want = {r["source"] if by else None: r for r in profile(panel, by=by).collect()}
+        got = united_profile(slice_profiles(panel, width=10), by=by).collect()
+        assert len(got) == len(want)
+        for r in got:
+            exact = want[r["source"] if by else None]
+            for name in ("n_rows", "first_time", "last_time", "n_valueless"):
+                assert r[name] == exact[name]
+            for name in ("n_indicators", "n_entities"):
+                assert abs(r[name] - exact[name]) <= STATED_ERROR * exact[name]
+    assert rows(united_profile(slice_profiles(panel.limit(0)))) == []
+
+
+def test_refresh_reads_new_slices_only(spark, rows, tmp_path):
+    root = str(tmp_path / "slices")
+    old, new = panel_of(spark, 2000, 0, 54), panel_of(spark, 2000, 55, 120, seed=2)
+    refresh_profiles(old, root, width=10)
+    # What changed in a stored slice is not read, but for the last one, which may have grown.
+    changed = panel_of(spark, 500, 0, 9, seed=3).unionByName(old).unionByName(new)
+    united = united_profile(refresh_profiles(changed, root, width=10))
+    exact = profile(old.unionByName(new), by="source")
+    names = ("source", "n_rows", "first_time", "last_time", "n_valueless")
+    assert rows(united, *names) == rows(exact, *names)
+    again = united_profile(refresh_profiles(changed, root, width=10, again=(0,)))
+    assert rows(again, *names) == rows(profile(changed, by="source"), *names)
+
+
+def test_refresh_pushes_the_time_to_the_scan(spark, tmp_path):
+    panel_of(spark, 300).write.parquet(f"{tmp_path}/panel")
+    stored = spark.read.parquet(f"{tmp_path}/panel")
+    plan = slice_profiles(stored.filter(F.col("time") >= 90))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time,90)" in plan
+
+
+# Bucketed panels
+
+
+@pytest.fixture
+def merge_only(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    yield
+    for n, v in before.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_bucketed_panel_does_not_move(spark, rows, tmp_path, merge_only):
+    panel = panel_of(spark, 3000)
+    events = spark.createDataFrame([(f"e{i}", 10 + i % 70) for i in range(0, 900, 3)] * 2, "entity string, event_at int")
+    stored = write_bucketed(panel, "panel_moves_not", 8, str(tmp_path / "p"))
+    got = bucketed_window(stored, events, -3, 2)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    want = event_window(panel, events, -3, 2)
+    assert rows(got) == rows(want.select(*got.columns))
+    # The events are made distinct and dealt; the panel lies where it is needed.
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 2
+    plain = bucketed_window(panel, events, -3, 2)
+    assert plain._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
+    assert rows(plain) == rows(got)
+    spark.sql("DROP TABLE panel_moves_not")
+    again = attach_bucketed(spark, "panel_of_before", "source string, entity string, indicator string, time int, value double", 8, str(tmp_path / "p"))
+    assert rows(bucketed_window(again, events, -3, 2)) == rows(want.select(*got.columns))
+    spark.sql("DROP TABLE panel_of_before")
+
+
+# Versions
+
+
+def test_versions_are_read_as_one_table(spark, rows, tmp_path):
+    root = str(tmp_path / "v")
+    versions = [
+        ("id int, price int, gone string, at date", [(1, 5, "x", None), (None, None, None, None)]),
+        ("id int, price int, gone string, at date", [(2, 6, "y", None)]),
+        ("ID bigint, price double, name string, flag boolean", [(2**40, 0.5, "n", True)]),
+        ("id smallint, price decimal(9,3), name int, flag string", [(7, None, 3, "f")]),
+        ("id int, price int, gone string, at date", [(9, 9, "z", None)]),
+    ]
+    for i, (schema, data) in enumerate(versions):
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{root}/{i}")
+    found = read_versions(spark, root)
+    assert found.schema.simpleString() == "struct<id:bigint,price:double,gone:string,at:date,name:string,flag:string>"
+    want = [
+        (1, 5.0, "x", None, None, None), (None,) * 6, (2, 6.0, "y", None, None, None), (2**40, 0.5, None, None, "n", "true"),
+        (7, None, None, None, "3", "f"), (9, 9.0, "z", None, None, None),
+    ]
+    assert rows(found) == sorted(want, key=repr)
+    groups = schema_groups(spark, root)
+    assert sorted(len(g.files) for g in groups) == [1, 1, 3]
+    plan = found.filter("id > 5").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedFilters: [IsNotNull") == 3 and "price" not in plan.split("Batched")[1].split("ReadSchema")[1]
+
+
+def test_versions_of_nothing_raise(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError):
+        read_versions(spark, str(tmp_path / "none"))
+
+
+def test_widening_is_symmetric_and_ordered():
+    of = T.StructType.fromDDL
+    types = [f.dataType for f in of("a tinyint, b int, c bigint, d float, e double, f decimal(5,2), g decimal(9,1), h string, i date, j timestamp, k timestamp_ntz, l boolean").fields]
+    for a in types:
+        for b in types:
+            assert wider(a, b) == wider(b, a) and (a != b or wider(a, b) == a)
+    assert wider(T.DecimalType(5, 2), T.DecimalType(9, 1)) == T.DecimalType(10, 2)
+    assert wider(T.IntegerType(), T.FloatType()) == T.DoubleType() and wider(T.DateType(), T.TimestampType()) == T.TimestampType()
+    nested = united([of("s struct<x:int>, t array<int>"), of("S struct<x:double,y:int>, t array<bigint>")])
+    assert nested.simpleString() == "struct<s:struct<x:double,y:int>,t:array<bigint>>"
+
+
+# Going back and clearing
+
+
+def test_rollback_and_clear(spark, tmp_path):
+    root = str(tmp_path)
+    assert runs(spark, root).count() == 0
+    with pytest.raises(LookupError):
+        rollback(spark, root)
+    for n in (1, 2, 3, 4):
+        publish(spark, root, {"a": spark.range(n), "b": spark.range(10 * n)})
+    ids = [r["run"] for r in runs(spark, root).orderBy("committed_at").collect()]
+    assert {r["name"]: r["n_rows"] for r in rollback(spark, root).collect()} == {"a": 3, "b": 30}
+    assert published(spark, root, "b").count() == 30
+    rollback(spark, root, ids[0])
+    assert published(spark, root, "a").count() == 1
+    # The live run and the newest other one stay, and what a reader holds.
+    rollback(spark, root, ids[1])
+    with reading(spark, root) as manifest:
+        path = manifest.filter("name = 'a'").first()["path"]
+        publish(spark, root, {"a": spark.range(5), "b": spark.range(50)})
+        publish(spark, root, {"a": spark.range(6), "b": spark.range(60)})
+        gone = {r["run"] for r in clear(spark, root, keep=2).collect()}
+        assert gone == {ids[0], ids[2], ids[3]} and spark.read.parquet(path).count() == 2
+    assert {r["run"] for r in clear(spark, root, keep=2).collect()} == {ids[1]}
+    assert published(spark, root, "a").count() == 6
+    with pytest.raises(LookupError, match="cleared"):
+        rollback(spark, root, ids[0])
+    with pytest.raises(LookupError, match="never committed"):
+        rollback(spark, root, "x")
+    assert {r["n_rows"] for r in rollback(spark, root).collect()} == {5, 50}
+    with pytest.raises(ValueError):
+        clear(spark, root, keep=0)
+
+
+def test_leases_run_out_and_unfinished_runs_stay(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark, root, {"a": spark.range(1)})
+    first = live_run(spark, root).first()["run"]
+    spark.range(3).write.parquet(f"{root}/runs/unfinished/a")
+    held = reading(spark, root, seconds=-1)
+    held.__enter__()
+    publish(spark, root, {"a": spark.range(2)})
+    assert [r["run"] for r in clear(spark, root, keep=1).collect()] == [first]
+    assert spark.read.parquet(f"{root}/runs/unfinished/a").count() == 3
+    with reading(spark, root) as manifest:
+        assert manifest.count() == 1
+    held.__exit__(None, None, None)
