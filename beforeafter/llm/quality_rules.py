@@ -139,8 +139,8 @@ class VoteModel:
 OWN_FAULT = (0.95, 0.04, 0.01)
 ON_GOOD = (0.001, 0.05, 0.949)
 BELIEF_ROWS = 20.0
-#: Bad votes of another rule, at least, that false alarms are read off.
-SUPPORT = 50
+#: Bad votes of other rules at which what is read off them weighs as much as the belief.
+EVEN_VOTES = 50.0
 #: By definition of a class: its own rule sees its faults at least this often.
 LEAST_HIT = 0.5
 
@@ -149,16 +149,24 @@ def false_alarms(bad: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Estimates of each rule's chance of a false alarm.
 
     A false alarm comes whatever other rules see, so it comes among the bad votes of
-    every other rule: the least share that a rule has there, with ``ON_GOOD`` added.
+    every other rule: the least share that a rule has there, with ``ON_GOOD`` added. A
+    share of few votes says little: in logarithms it is drawn to the rule's share of all
+    rows, which is never less than its alarms, and the least one to the belief
+    ``ON_GOOD``, each by the number of votes it rests on. So estimates move smoothly
+    with the counts.
     """
     both = bad.T @ (bad * count[:, None])
     given = np.diag(both)
-    rates = (both + BELIEF_ROWS * ON_GOOD[0]) / (given + BELIEF_ROWS)[None, :]
-    rates[:, given < SUPPORT] = np.inf
-    np.fill_diagonal(rates, np.inf)
-    least = rates.min(axis=1)
-    overall = (count @ bad) / count.sum()
-    return np.where(np.isfinite(least), np.minimum(least, np.maximum(overall, ON_GOOD[0])), ON_GOOD[0])
+    believed = math.log(ON_GOOD[0])
+    overall = np.log(np.maximum((count @ bad) / count.sum(), ON_GOOD[0]))
+    shares = np.log((both + BELIEF_ROWS * ON_GOOD[0]) / (given + BELIEF_ROWS)[None, :])
+    weight = (given / (given + EVEN_VOTES))[None, :]
+    drawn = np.minimum(weight * shares + (1 - weight) * overall[:, None], overall[:, None])
+    np.fill_diagonal(drawn, np.inf)
+    least = np.minimum(drawn.min(axis=1), overall) if len(given) > 1 else overall
+    others = given.sum() - given
+    weight = others / (others + EVEN_VOTES)
+    return np.exp((1 - weight) * believed + weight * least)
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, tol: float = 1e-7, max_rounds: int = 100_000) -> VoteModel:

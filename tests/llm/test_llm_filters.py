@@ -1,5 +1,6 @@
 """URL rules, quality rules, mixing and sharding against plain Python."""
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from beforeafter.llm import mixing, quality_rules, sharding, text, url_rules
+from beforeafter.llm import mixing, quality_rules, queries, sharding, text, url_rules
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, size long, uid long, _m string, _p int, kept string"
 LONG = " ".join(f"w{i % 997}x{i % 89}" for i in range(30_000))
@@ -256,3 +257,117 @@ def test_queries_equal_their_sql(spark, sf_dir):
     con = connect(sf_dir)
     for name, sql in ORACLE.items():
         assert compare(plain(QUERIES[name](spark, sf_dir).toPandas()), plain(con.execute(sql).df())) == ""
+
+
+def test_verdicts_move_smoothly_with_the_votes_seen():
+    """A rule votes bad on a fifth of all rows, another on ever more of them at random."""
+    posteriors = []
+    for seen in [0, 1, 5, 10, 20, *range(40, 61), 80, 100, 1_000, 3_000]:
+        patterns: Counter = Counter()
+        for k in range(10_000):
+            picked = seen and (k * seen) % 10_000 < seen
+            patterns[(1, -1 if picked else 1, 1, -1 if k % 5 == 0 else 1)] += 1
+        model = quality_rules.estimate(sorted(patterns.items()), 4)
+        parts = [p * np.prod([c[j][v + 1] for j, v in enumerate((1, 1, 1, -1))]) for p, c in zip(model.priors, model.chances)]
+        posteriors.append(parts[0] / sum(parts))
+    near = posteriors[5:26]
+    assert max(abs(a - b) for a, b in zip(near, near[1:])) < 0.05
+    assert posteriors[0] < 0.05 and posteriors[-1] > 0.9
+
+
+def em_by_rows(votes):
+    """The same model worked out over rows, one at a time, in plain loops."""
+    n_rules, belief = len(votes[0]), quality_rules.BELIEF_ROWS
+    own, on_good, even = quality_rules.OWN_FAULT, quality_rules.ON_GOOD, quality_rules.EVEN_VOTES
+    total = len(votes)
+    given = [sum(v[j] < 0 for v in votes) for j in range(n_rules)]
+    alarms = []
+    for j in range(n_rules):
+        overall = math.log(max(given[j] / total, on_good[0]))
+        least = overall
+        for k in range(n_rules):
+            if k != j:
+                both = sum(v[j] < 0 and v[k] < 0 for v in votes)
+                share = math.log((both + belief * on_good[0]) / (given[k] + belief))
+                w = given[k] / (given[k] + even)
+                least = min(least, w * share + (1 - w) * overall)
+        others = sum(given) - given[j]
+        w = others / (others + even)
+        alarms.append(math.exp((1 - w) * math.log(on_good[0]) + w * least))
+
+    def added(c, j):
+        if c == 0:
+            return [1.0] + [belief * x / sum(on_good[1:]) for x in on_good[1:]]
+        return [belief * x for x in own] if c == j + 1 else [1.0, 1.0, 1.0]
+
+    def finished(sums):
+        out = []
+        for c in range(n_rules + 1):
+            out.append([])
+            for j in range(n_rules):
+                s = sums[c][j]
+                s = [x / sum(s) for x in s]
+                if c == 0:
+                    s = [alarms[j], *[x * (1 - alarms[j]) / sum(s[1:]) for x in s[1:]]]
+                elif c == j + 1 and s[0] < quality_rules.LEAST_HIT:
+                    low = quality_rules.LEAST_HIT
+                    s = [low, *[x * (1 - low) / sum(s[1:]) for x in s[1:]]]
+                out[c].append(s)
+        return out
+
+    sums = [[added(c, j) for j in range(n_rules)] for c in range(n_rules + 1)]
+    for v in votes:
+        held = [all(x >= 0 for x in v)] + [x < 0 for x in v]
+        for c, h in enumerate(held):
+            for j, x in enumerate(v):
+                sums[c][j][x + 1] += h
+    chances = finished(sums)
+    for j in range(n_rules):
+        chances[j + 1][j] = list(own)
+    fault = [max(g / total - a, 0) * total + 1 for g, a in zip(given, alarms)]
+    priors = [max(total - sum(fault), 0) + 1, *fault]
+    priors = [p / sum(priors) for p in priors]
+    before = None
+    while True:
+        known: dict = {}
+        for v in votes:
+            if v not in known:
+                parts = [p * math.prod(c[j][x + 1] for j, x in enumerate(v)) for p, c in zip(priors, chances)]
+                known[v] = [p / sum(parts) for p in parts]
+        if before is not None and max(abs(a - b) for v in known for a, b in zip(known[v], before[v])) < 1e-8:
+            return known
+        before = known
+        sums = [[added(c, j) for j in range(n_rules)] for c in range(n_rules + 1)]
+        priors = [1.0] * (n_rules + 1)
+        for v in votes:
+            for c, h in enumerate(known[v]):
+                priors[c] += h
+                for j, x in enumerate(v):
+                    sums[c][j][x + 1] += h
+        priors = [p / sum(priors) for p in priors]
+        chances = finished(sums)
+
+
+def votes_by_hand(m):
+    n, chars, symbols, lines, repeats, capitals, shouts, distinct = m
+    if not n:
+        return (0,) * 8
+    rules = [
+        (n < 20, 50 <= n <= 100_000), (not 3 * n <= chars <= 10 * n, 3.5 * n <= chars <= 7 * n), (symbols > 0.1 * n, symbols <= 0.02 * n),
+        (lines > 0.1 * n, lines <= 0.02 * n), (repeats > 0.3 * n, repeats <= 0.1 * n), (capitals > 0.3 * chars, capitals <= 0.1 * chars),
+        (shouts > 0.3 * n, shouts <= 0.05 * n), (distinct < 0.2 * n and 20 <= n <= 5000, distinct >= 0.4 * n),
+    ]
+    return tuple(-1 if bad else 1 if good else 0 for bad, good in rules)
+
+
+def test_quality_query_equals_estimates_over_rows(spark, sf_dir):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    by_hand = {i: measured(t) for i, t in docs}
+    votes = {i: votes_by_hand(m) for i, m in by_hand.items()}
+    posterior = em_by_rows([votes[i] for i, _ in docs])
+    kept = {
+        i: not (m[0] < 20 or 100 * m[4] > 30 * m[0]) and posterior[votes[i]][0] >= 0.5 for i, m in by_hand.items()
+    }
+    got = queries.op5_quality_rules(spark, sf_dir).collect()
+    assert {r["doc_id"]: r["kept"] for r in got} == kept and len(got) == len(docs)
+    assert all(abs(r["posterior"] - posterior[votes[r["doc_id"]]][0]) < 1e-4 for r in got)
