@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 _local_dir: str | None = None
 
+# Folders written by ``stage`` since each open ``scope`` began.
+_scopes: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, seen by every executor.
@@ -50,14 +55,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
     """Delete this application's intermediate tables. To be called once every
     result that reads them has been written or collected."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, run_dir(spark))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, what ``stage`` wrote inside it. For work whose result has
+    been written by then: lazy results from inside must not be read behind it."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
 
 
 def stage_side(df: DataFrame, label: str, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 
 from beforeafter.llm import bpe, mixing, quality_rules, simhash, text
 from beforeafter.llm.queries import GOOD_SCORE, VOCABULARY, scored, table, token_digests
-from beforeafter.staging import run_dir
+from beforeafter.staging import delete, run_dir, scope
 
-#: Four of the five stages rest on fitted models, hashes or merges: tests compare with brute force.
+#: Four of the five stages rest on fitted models, hashes or merges: tests/llm works all five
+#: out plainly on the smallest tables and compares the whole of ``run``.
 ORACLE_SQL = None
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that their nearest labelled neighbours call good; learns from the
     labelled documents of ``sf_dir``."""
-    name = text.unused("_score", docs.columns)
-    judged = scored(spark, docs, sf_dir).withColumnRenamed("score", name)
-    return judged.filter(F.col(name) >= GOOD_SCORE).select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("row"), "text")
+    return scored(spark, packed, sf_dir).filter(F.col("score") >= GOOD_SCORE).select("row.*")
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,10 +60,19 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read by the next."""
+    """All stages over ``documents``, each written as Parquet and read by the next.
+
+    Once a stage is written, what it read and what it wrote on the way are deleted, so
+    the shared folder holds no more than two stages' outputs. The last stage is lazy:
+    what it reads stays until ``staging.release``.
+    """
     docs = table(spark, sf_dir, "documents")
     root = f"{run_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
-        docs = spark.read.parquet(f"{root}/{name}")
+        with scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
+        if before is not None:
+            delete(spark, f"{root}/{before}")
+        docs, before = spark.read.parquet(f"{root}/{name}"), name
     return STAGES[-1][1](spark, docs, sf_dir)
