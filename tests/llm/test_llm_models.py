@@ -316,30 +316,3 @@ def test_exact_neighbours_vote(spark):
         near = np.argsort(-cosines)[: quality_classifier.NEIGHBOURS]
         weight = np.maximum(cosines[near], 0)
         assert got == pytest.approx((weight * labels[near]).sum() / weight.sum(), rel=1e-5)
-
-
-def test_pipeline_stages_on_odd_documents(spark, sf_dir):
-    import corpus_pipeline
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
-    odd = spark.createDataFrame(
-        [(None, None, None, None, None, "u"), (None, "", None, "s", 0, "u"), (900_000, "w " * 50_000, "en", None, 1, "u")] * 2,
-        "doc_id long, text string, lang string, source string, n_chars long, uid string",
-    )
-    both = docs.unionByName(odd, allowMissingColumns=True)
-    for name, stage in corpus_pipeline.STAGES:
-        out = stage(spark, both, sf_dir)
-        assert name == "tokens" or out.columns == both.columns
-        assert out.count() >= 0 and stage(spark, both.limit(0), sf_dir).count() == 0
-
-
-def test_pipeline_run_equals_its_stages(spark, sf_dir):
-    import corpus_pipeline
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    scores = {r["doc_id"]: r["score"] for r in Q.op10_quality_classifier(spark, sf_dir).collect()}
-    first = corpus_pipeline.STAGES[0][1](spark, docs, sf_dir)
-    assert {r["doc_id"] for r in first.collect()} == {i for i, s in scores.items() if s >= Q.GOOD_SCORE}
-    result = corpus_pipeline.run(spark, sf_dir).collect()
-    assert {r["doc_id"] for r in result} <= set(scores) and max(__import__("collections").Counter(r["doc_id"] for r in result).values()) <= 2
-    assert all(r["n_tokens"] == len(r["ids"]) for r in result)
