@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 #: Elements by their role in the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-HIDDEN = frozenset("head template noscript svg math object select datalist button canvas audio video map".split())
+HIDDEN = frozenset("head template noscript object select datalist button canvas audio video map".split())
 #: What may stand in a head; any other start tag, or text, ends an open one.
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt msub msup msubsup semantics".split()
 )
 CLOSED_BY_SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: What ends an open element of CLOSED_BY_SIBLING from outside.
@@ -29,17 +29,28 @@ CONTENT_TAGS = frozenset("article main".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 #: Words of class, id and role names, cut at anything but letters and digits.
 BOILERPLATE_NAMES = frozenset(
-    "ad ads advert advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent contentinfo "
-    "cookie cookies copyright disqus footer gdpr login masthead menu menubar modal nav navbar navigation newsletter notice "
-    "pager pagination popup promo promoted promotion related recommended reply replies respond search share sharing "
-    "sidebar signup skip social sponsor sponsored subscribe subscription tagcloud toolbar trending widget widgets".split()
+    "boilerplate ad ads advert advertisement advertising adsense breadcrumb breadcrumbs comment comments consent contentinfo cookie "
+    "cookies disqus footer gdpr login masthead menu menubar modal nav navbar navigation newsletter pager pagination popup "
+    "promo replies sidebar signup sponsor sponsored subscribe subscription tagcloud toolbar widget widgets".split()
+)
+#: Words that name boilerplate or a subject: they count in full only in a name of which
+#: every word is one of these, of the above or of the next set.
+AMBIGUOUS_NAMES = frozenset(
+    "banner copyright notice promoted recommended related reply respond search share sharing skip social trending".split()
+)
+PART_NAMES = frozenset(
+    "area aside bar block bottom box btn button buttons column container content footer form group header icon icons inner "
+    "item items left link links list main module more outer panel post posts right row section site top wrap wrapper".split()
 )
 CONTENT_NAMES = frozenset("article body content entry main post story text".split())
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 #: An attribute: its whole name, then its value, quoted or bare, if it has one.
 _ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
-#: Elements open at a time; deeper ones count as their parent, as in browsers.
+#: Elements of other languages: a slash before the bracket closes them.
+FOREIGN = frozenset("svg math path circle rect line polygon polyline ellipse use g mi mn mo mrow mspace".split())
+#: Elements around a block that are looked at; deeper ones count as their parent, as in
+#: browsers, but for hidden ones.
 DEPTH = 512
 
 
@@ -49,6 +60,7 @@ class Element:
     number: int
     names: frozenset[str] = frozenset()
     hidden: bool = False
+    doubtful: bool = False
 
 
 @dataclass
@@ -64,8 +76,11 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
-def _names(attributes: str) -> tuple[frozenset[str], bool]:
-    names, hidden, seen = set(), False, set()
+def _names(attributes: str) -> tuple[frozenset[str], bool, bool]:
+    """Words of an element's names, whether it is hidden, and whether its names hold an
+    ambiguous word beside one that says nothing of the page's build: such words are left
+    out of the names."""
+    names, hidden, doubtful, seen = set(), False, False, set()
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values)
         if key in seen:  # the first one counts
@@ -74,8 +89,16 @@ def _names(attributes: str) -> tuple[frozenset[str], bool]:
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             hidden = True
         elif key in ("class", "id", "role"):
-            names.update(w.lower() for w in _NAME.findall(value))
-    return frozenset(names), hidden
+            for name in value.split():
+                words = {w.lower() for w in _NAME.findall(name)}
+                unclear = words & AMBIGUOUS_NAMES
+                if unclear and any(not w.isdigit() for w in words - AMBIGUOUS_NAMES - BOILERPLATE_NAMES - PART_NAMES):
+                    doubtful = True
+                    words -= unclear
+                elif unclear:
+                    words = {*words, "boilerplate"}
+                names.update(words)
+    return frozenset(names), hidden, doubtful
 
 
 def blocks(page: str) -> list[Block]:
@@ -180,9 +203,11 @@ def blocks(page: str) -> list[Block]:
                 if stack[k].tag in SCOPE:
                     break
         number += 1
-        names, unseen = _names(tag[3]) if tag[3] else (frozenset(), False)
-        if len(stack) < DEPTH and not (tag[3].endswith("/") and name in ("svg", "math")):
-            stack.append(Element(name, number, names, unseen or name in HIDDEN))
+        names, unseen, doubtful = _names(tag[3]) if tag[3] else (frozenset(), False, False)
+        gone = unseen or name in HIDDEN
+        # Nothing below a hidden element becomes a block, so these may lie at any depth.
+        if (len(stack) < DEPTH or gone or hidden) and not (tag[3].endswith("/") and name in FOREIGN):
+            stack.append(Element(name, number, names, gone, doubtful))
             hidden += stack[-1].hidden
             links += name == "a"
     return [b for b in found if b.text]
@@ -220,6 +245,10 @@ def wrappers(found: list[Block]) -> frozenset[int]:
     return frozenset(e.number for e in block.path[:depth] if enough or 2 * size[e.number] > total)
 
 
+#: What a name that may or may not mean boilerplate costs: about as much as an edge bears.
+DOUBT = 1.2
+
+
 def evidence(block: Block, around: frozenset[int] = frozenset()) -> float:
     """Log odds that a block is content, by what stands around it and its own text.
     Names of the elements ``around`` the main part cost nothing."""
@@ -237,16 +266,18 @@ def evidence(block: Block, around: frozenset[int] = frozenset()) -> float:
                 score -= 0.0 if e.number in around else 10.0
             elif e.names & CONTENT_NAMES:
                 score += 1.0
+        if names_count and e.doubtful and e.number not in around:
+            score -= DOUBT
         if e.tag in CONTENT_TAGS and not e.names & BOILERPLATE_NAMES:
             score += 0.0 if inside else 5.0
             inside, names_count = True, False
     text, words = block.text, len(block.text.split())
-    score += min(words, 40) / 20.0 - 1.0
-    score -= 5.0 * block.linked / max(len("".join(block.parts)), 1)
+    score += min(words, 40) / 20.0 - 0.6
+    score -= 3.0 * block.linked / max(len("".join(block.parts)), 1)
     if text.rstrip("\"'”»)").endswith((".", "!", "?", "…", "。")):
-        score += 0.5
+        score += 0.4
     if block.path and block.path[-1].tag in ("p", "blockquote", "pre"):
-        score += 1.0
+        score += 0.8
     if "©" in text:
         score -= 3.0
     return score

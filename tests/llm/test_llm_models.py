@@ -246,6 +246,54 @@ def test_broken_pages_end_soon(page):
     html_text.main_text(page)
 
 
+BODIES = {
+    # Short blocks between prose, in pages without any telling tag or name.
+    f"<h1>Prices</h1><p>{PROSE}</p><h2>Then</h2><p>{PROSE}</p>": f"Prices {PROSE} Then {PROSE}",
+    f"<div><h2>One</h2><p>{PROSE}</p><ul><li>first thing</li><li>second</li></ul><p>{PROSE}</p></div>": f"One {PROSE} first thing second {PROSE}",
+    # A paragraph that is mostly a link stands in prose, and short sentences in menus.
+    f"""<div><p>{PROSE}</p><p>See <a href=x>the long list of all reports there are</a></p><p>{PROSE}</p></div>
+<div><div><a href=1>Item one</a></div><div><a href=2>Item two</a></div><div>Hot offers today, and only today.</div>
+<div><a href=3>Item three</a></div></div>""": f"{PROSE} See the long list of all reports there are {PROSE}",
+    f"""<table><tr><td><a href=1>News</a><br><a href=2>Sport</a></td><td><h1>Title here</h1><p>{PROSE}</p><p>By the way.</p><p>{PROSE}</p></td>
+<td><p><a href=3>Shop now</a></p><p>Win a prize.</p><p><a href=4>Enter here</a></p></td></tr></table>""": f"Title here {PROSE} By the way. {PROSE}",
+    # A name that may mean boilerplate, on a short paragraph of an article about shares.
+    f'<p>{PROSE}</p><div class="share-price"><p>The share rose.</p></div><p>{PROSE}</p>': f"{PROSE} The share rose. {PROSE}",
+}
+
+
+@pytest.mark.parametrize("body, want", BODIES.items())
+def test_the_cut_decides_where_signs_are_wrong(body, want):
+    page = f"<html><body>{body}</body></html>"
+    assert html_text.main_text(page) == want
+    found = html_text.blocks(page)
+    scores = [html_text.evidence(b, html_text.wrappers(found)) for b in found]
+    alone = " ".join(b.text for b, s in zip(found, scores) if s > 0)
+    assert alone != want
+    labels = html_text.minimum_cut([round(html_text.SCALE * s) for s in scores], {})
+    assert " ".join(b.text for b, content in zip(found, labels) if content) == alone
+
+
+@pytest.mark.parametrize("name, kept", [
+    ("share-price", True), ("social-policy", True), ("related-work", True), ("search-results-explained", True), ("public notice", False),
+    ("share-buttons", False), ("social", False), ("related-posts", False), ("searchbox", True), ("search-box", False), ("notice2", False), ("cookie-notice", False),
+])
+def test_ambiguous_names(name, kept):
+    page = f'<body><h1>Title</h1><p>{PROSE}</p><div class="{name}"><p>{PROSE}</p></div><p>{PROSE}</p></body>'
+    assert html_text.main_text(page) == " ".join(["Title", *[PROSE] * (2 + kept)])
+
+
+def test_formulas_and_drawings_are_text():
+    page = f"""<article><p>The formula <math><mi>E</mi><mo>=</mo><mi>mc2</mi></math> is known.</p>
+<svg><title>no</title><path d="x"/><text>a label</text></svg><p>{PROSE}</p></article>"""
+    assert html_text.main_text(page) == f"The formula E=mc2 is known. a label {PROSE}"
+
+
+def test_hidden_elements_count_at_any_depth():
+    deep = "<div>" * 2_000
+    page = f"<article><p>{PROSE}</p>{deep}<p>{PROSE}</p><div hidden><p>no</p><div>no</div></div><template><p>no</p></template><p>{PROSE}</p>"
+    assert html_text.main_text(page) == " ".join([PROSE] * 3)
+
+
 def test_minimum_cut_equals_the_best_of_all_labellings():
     rng = random.Random(2)
     for _ in range(400):
