@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -76,41 +77,6 @@ def test_token_query_digests(spark, sf_dir, reference):
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
 
 
-def test_losses_are_those_of_a_proper_model(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", (F.col("doc_id") % 2 == 0).alias("t"))
-    models = lm_scoring.train(docs, "t")
-    for losses in (models.target, models.background):
-        chances = np.exp(-losses.astype(float)).reshape(lm_scoring.CONTEXTS, lm_scoring.TOKENS).sum(axis=1)
-        assert np.allclose(chances, 1.0, atol=1e-4)
-    texts = [r["text"] for r in docs.collect()]
-    pairs = np.zeros(lm_scoring.CONTEXTS * lm_scoring.TOKENS)
-    for t in texts[:]:
-        np.add.at(pairs, models.vocabulary.cells(models.vocabulary.tokens(t)), 1)
-    target = np.zeros_like(pairs)
-    for r in docs.filter("t").collect():
-        np.add.at(target, models.vocabulary.cells(models.vocabulary.tokens(r["text"])), 1)
-    assert np.allclose(models.target, lm_scoring.token_losses(target), atol=1e-6)
-    assert np.allclose(models.background, lm_scoring.token_losses(pairs * target.sum() / pairs.sum()), atol=1e-6)
-    from collections import Counter
-
-    seen = Counter(w for t in texts for w in t.encode().lower().split())
-    top = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: lm_scoring.WORDS]]
-    assert list(models.vocabulary.numbers) == top
-
-
-def test_losses_of_odd_texts(spark):
-    df = spark.createDataFrame([(t, True, 1.0) for t in ODD], "text string, t boolean, score double")
-    out = lm_scoring.add_losses(df, lm_scoring.train(df, "t"))
-    assert out.columns == ["text", "t", "n_tokens", "target_loss", "background_loss", "score"]
-    for r in out.collect():
-        n = len((r["text"] or "").split())
-        assert r["n_tokens"] == n and (r["score"] is None) == (n == 0)
-        assert n == 0 or r["score"] == pytest.approx(r["background_loss"] - r["target_loss"])
-    none = lm_scoring.train(df.limit(0), "t")
-    assert lm_scoring.add_losses(df, none).count() == len(ODD)
-    assert lm_scoring.add_losses(df.withColumn("t", F.lit(None).cast("boolean")), none).count() == len(ODD)
-
-
 def plain_scores(texts, is_target):
     """Losses by dictionaries of all words and bigrams."""
     from collections import Counter
@@ -141,7 +107,6 @@ def test_every_word_and_bigram_counts(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
     good = {r["doc_id"] for r in labels.filter(~quality_classifier.held_out(F.col("doc_id"))).collect()}
     want = dict(zip((r["doc_id"] for r in docs), plain_scores([r["text"] for r in docs], [r["doc_id"] in good for r in docs])))
-    assert len({w for r in docs for w in (r["text"] or "").encode().lower().split()}) > lm_scoring.WORDS
     got = Q.op2_lm_scoring(spark, sf_dir).collect()
     assert len(got) == len(docs)
     for r in got:
@@ -150,6 +115,36 @@ def test_every_word_and_bigram_counts(spark, sf_dir):
         assert n == 0 or (r["target_loss"], r["background_loss"]) == (pytest.approx(target), pytest.approx(background))
 
 
+@pytest.mark.parametrize("bucket_words, texts, words", [(2_000, 7, 50), (100, 1, 1), (10**9, 16_384, 10**6)])
+def test_buckets_and_slices_change_nothing(spark, monkeypatch, bucket_words, texts, words):
+    """Frequent words and bigrams, few and many buckets, and texts that fill a slice alone."""
+    rng = random.Random(4)
+    some = [f"w{int(rng.paretovariate(0.6)) % 4000}" for _ in range(30_000)]
+    docs = [" ".join(some[i : i + rng.randint(1, 90)]) for i in range(0, 30_000, 60)]
+    docs += ["of the", "of the of the of the", "THE", "the"] * 60 + ["of " + "the of " * 3_000, None, "", docs[0], docs[0]]
+    monkeypatch.setattr(lm_scoring, "BUCKET_WORDS", bucket_words)
+    target = [i % 3 == 0 for i in range(len(docs))]
+    with monkeypatch.context() as small:
+        small.setattr(lm_scoring, "SLICE_TEXTS", texts)
+        small.setattr(lm_scoring, "SLICE_WORDS", words)
+        batch = pd.DataFrame({"key": range(len(docs)), "text": docs, "target": target})
+        cut = list(lm_scoring.Cutter().slices(iter([batch])))
+        assert sum(len(s.words) for s in cut) == sum(len((d or "").split()) for d in docs)
+        assert all(len(s.keys) <= texts for s in cut)
+    df = spark.createDataFrame([(i, d, t) for i, (d, t) in enumerate(zip(docs, target))], "i int, text string, t boolean")
+    got = {r["i"]: r for r in lm_scoring.score_by_counts(df, "t", carry=["i"]).collect()}
+    for i, (n, t, b) in enumerate(plain_scores(docs, target)):
+        assert got[i]["n_tokens"] == n and (got[i]["score"] is None) == (n == 0)
+        assert n == 0 or (got[i]["target_loss"], got[i]["background_loss"]) == (pytest.approx(t), pytest.approx(b))
+
+
+@pytest.mark.parametrize("name", ["_t", "_b", "_hash", "_n", "_row", "_text", "_key", "key", "target", "word", "bucket"])
+def test_columns_of_any_name_stay(spark, name):
+    df = spark.createDataFrame([("a b a", True, 5), (None, False, 6)], f"text string, is_target boolean, {name} int")
+    out = lm_scoring.score_by_counts(df, "is_target")
+    assert sorted(r[name] for r in out.collect()) == [5, 6] and out.columns[:3] == ["text", "is_target", name]
+
+
 def test_counted_losses_of_odd_texts(spark):
     df = spark.createDataFrame([(t, i % 2 == 0, 1.0) for i, t in enumerate(ODD)], "text string, t boolean, score double")
     want = {t: w for t, w in zip(ODD, plain_scores(ODD, [i % 2 == 0 for i in range(len(ODD))]))}
