@@ -24,12 +24,14 @@ from beforeafter.staging import stage
 #: Pseudo-counts that a context deals by the frequencies of single words.
 OWN = 64.0
 #: Occurrences of a bucket on average, and buckets at least.
-BUCKET_WORDS = 4_000_000
+BUCKET_WORDS = 2_000_000
 LEAST_BUCKETS = 16
-#: Texts and words that are cut up at a time, and hashes of words that are remembered.
+#: Texts and words that are cut up at a time, occurrences whose losses are, and hashes of
+#: words that are remembered.
 SLICE_TEXTS = 16_384
 SLICE_WORDS = 1_000_000
-REMEMBERED = 500_000
+STEP_WORDS = 250_000
+REMEMBERED = 200_000
 #: The context of a text's first word: the hash of the empty word.
 START = np.uint64(xxhash.xxh64_intdigest(b""))
 
@@ -189,9 +191,16 @@ def _index_type(n: int):
     return np.uint8 if n <= 1 << 8 else np.uint16 if n <= 1 << 16 else np.uint32
 
 
-def _unpacked(distinct: bytes, at: bytes) -> np.ndarray:
+def _places(table: np.ndarray, distinct: bytes, at: bytes) -> np.ndarray:
+    """Places in the table of packed values."""
     values = np.frombuffer(distinct, np.uint64)
-    return values[np.frombuffer(at, _index_type(len(values)))]
+    return _found(table, values).astype(np.uint32)[np.frombuffer(at, _index_type(len(values)))]
+
+
+def _runs(ascending: np.ndarray) -> tuple[bytes, bytes]:
+    """Distinct values and how often each stands."""
+    starts = np.flatnonzero(np.concatenate([[True], ascending[1:] != ascending[:-1]]))
+    return ascending[starts].tobytes(), np.diff(np.append(starts, len(ascending))).astype(np.uint32).tobytes()
 
 
 def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
@@ -218,7 +227,8 @@ def _deal(model: Model):
                 rows.append((k % model.buckets, _SUMS, int(some.sum()), *[None] * 5, s.keys[some].tobytes(), None, sums[some].tobytes()))
             rest = np.flatnonzero(pair < 0)
             buckets = model.bucket(s.words[rest], s.contexts[rest], w[rest] >= 0)
-            order = np.argsort(buckets, kind="stable")
+            # In the order of words, a word of a bucket is named once.
+            order = np.lexsort((s.words[rest], buckets))
             rest, buckets = rest[order], buckets[order]
             cuts = np.flatnonzero(np.diff(buckets)) + 1
             for a, b in zip([0, *cuts], [*cuts, len(rest)]):
@@ -228,7 +238,7 @@ def _deal(model: Model):
                 used, texts = np.unique(s.texts[at], return_inverse=True)
                 marked = texts.astype(np.uint16) | (s.last[at].astype(np.uint16) << np.uint16(15))
                 rows.append((
-                    int(buckets[a]), _OCCURRENCES, b - a, *_packed(s.words[at]), *_packed(s.contexts[at]), marked.tobytes(),
+                    int(buckets[a]), _OCCURRENCES, b - a, *_runs(s.words[at]), *_packed(s.contexts[at]), marked.tobytes(),
                     s.keys[used].tobytes(), s.target[used].tobytes(), None,
                 ))
             yield _frame(rows, _DEALT)
@@ -269,19 +279,23 @@ def _score_buckets(model: Model):
         known = np.concatenate([model.hot_counts, *counts])
         order = np.argsort(table)
         table, known = table[order], known[order]
-        at = np.concatenate([_found(table, _unpacked(r.words, r.at)) for r in dealt]).astype(np.uint32)
-        contexts, before = np.unique(np.concatenate([_unpacked(r.contexts, r.before) for r in dealt]), return_inverse=True)
+        words_of = [(_found(table, np.frombuffer(r.words, np.uint64)).astype(np.uint32), np.frombuffer(r.at, np.uint32)) for r in dealt]
+        at = np.concatenate([np.repeat(w, n) for w, n in words_of])
+        contexts = np.unique(np.concatenate([np.frombuffer(r.contexts, np.uint64) for r in dealt]))
+        before = np.concatenate([_places(contexts, r.contexts, r.before) for r in dealt])
+        pairs, which = np.unique(_pairs(before, at, len(table)), return_inverse=True)
+        which, n_pairs = which.astype(np.uint32), len(pairs)
+        del before, contexts, pairs
         marked = [np.frombuffer(r.texts, np.uint16) for r in dealt]
         keys = [np.frombuffer(r.keys, np.int64) for r in dealt]
         first = np.cumsum([0, *map(len, keys)])
-        texts = np.concatenate([(m & 0x7FFF).astype(np.int64) + f for m, f in zip(marked, first)])
+        texts = np.concatenate([(m & 0x7FFF).astype(np.uint32) + np.uint32(f) for m, f in zip(marked, first)])
         going = np.concatenate([m < 0x8000 for m in marked])
         keys, target = np.concatenate(keys), np.concatenate([np.frombuffer(r.target, bool) for r in dealt])
-        pairs, which = np.unique(_pairs(before, at, len(table)), return_inverse=True)
-        counted = np.column_stack([np.bincount(which, minlength=len(pairs)), np.bincount(which, target[texts], len(pairs))])
+        counted = np.column_stack([np.bincount(which, minlength=n_pairs), np.bincount(which, target[texts], n_pairs)])
         sums = np.zeros((len(keys), 3))
-        for a in range(0, len(at), SLICE_WORDS):
-            part = slice(a, a + SLICE_WORDS)
+        for a in range(0, len(at), STEP_WORDS):
+            part = slice(a, a + STEP_WORDS)
             losses = model.losses(known[at[part]], counted[which[part]], going[part])
             sums += _text_sums(losses, texts[part], len(keys))
         yield _summed(keys, sums)
