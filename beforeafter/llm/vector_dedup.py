@@ -14,10 +14,11 @@ from beforeafter.llm.components import connected
 from beforeafter.staging import broadcast_if_small, stage
 
 #: Rows a cell should hold, most pivots over all labels (twice that at worst), rows of
-#: a block within a cell.
+#: a block within a cell, and of a tile of two blocks that is multiplied at a time.
 CELL_ROWS = 4_096
 MAX_PIVOTS = 1_024
-BLOCK_ROWS = 2_048
+BLOCK_ROWS = 16_384
+TILE_ROWS = 2_048
 #: Added to angles so that rounding never loses a pair, and the band around the limit
 #: in which cosines are worked out again exactly.
 SLACK = 1e-6
@@ -106,28 +107,34 @@ def _local_roots(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple
         left, right = a, b
 
 
+def _tile_links(a: pd.DataFrame, b: pd.DataFrame, same: bool, min_cosine: float) -> list[pd.DataFrame]:
+    """Links between two tiles, or inside one, summed up per class."""
+    near = near_pairs(a["vector"].tolist(), b["vector"].tolist(), min_cosine)
+    near &= a["native"].to_numpy()[:, None] | b["native"].to_numpy()[None, :]
+    if same:
+        np.fill_diagonal(near, False)
+    rows, cols = near.any(axis=1), near.any(axis=0)
+    if not rows.any():
+        return []
+    a, b, near = a[rows], b[cols], near[np.ix_(rows, cols)]
+    roots = _local_roots(near, a["cid"].to_numpy(), b["cid"].to_numpy())
+    out = [pd.DataFrame({"cid": a["cid"].to_numpy(), "linked": near @ b["n"].to_numpy(), "root": roots[0]})]
+    if not same:
+        out.append(pd.DataFrame({"cid": b["cid"].to_numpy(), "linked": a["n"].to_numpy() @ near, "root": roots[1]}))
+    return out
+
+
 def _unit_links(min_cosine: float):
-    """Links inside one pair of blocks of one cell, summed up per class."""
+    """Links inside one pair of blocks of one cell, tile by tile."""
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
         a = pdf[pdf["block"] == i].sort_values("cid")
         b = a if i == j else pdf[pdf["block"] == j].sort_values("cid")
-        empty = pd.DataFrame({"cid": [], "linked": [], "root": []}).astype("int64")
-        if not len(a) or not len(b):
-            return empty
-        near = near_pairs(a["vector"].tolist(), b["vector"].tolist(), min_cosine)
-        near &= a["native"].to_numpy()[:, None] | b["native"].to_numpy()[None, :]
-        if i == j:
-            np.fill_diagonal(near, False)
-        rows, cols = near.any(axis=1), near.any(axis=0)
-        if not rows.any():
-            return empty
-        a, b, near = a[rows], b[cols], near[np.ix_(rows, cols)]
-        roots = _local_roots(near, a["cid"].to_numpy(), b["cid"].to_numpy())
-        out = [pd.DataFrame({"cid": a["cid"].to_numpy(), "linked": near @ b["n"].to_numpy(), "root": roots[0]})]
-        if i != j:
-            out.append(pd.DataFrame({"cid": b["cid"].to_numpy(), "linked": a["n"].to_numpy() @ near, "root": roots[1]}))
+        out = [pd.DataFrame({"cid": [], "linked": [], "root": []})]
+        for x in range(0, len(a), TILE_ROWS):
+            for y in range(x if i == j else 0, len(b), TILE_ROWS):
+                out += _tile_links(a.iloc[x : x + TILE_ROWS], b.iloc[y : y + TILE_ROWS], i == j and x == y, min_cosine)
         return pd.concat(out).astype("int64")
 
     return links
