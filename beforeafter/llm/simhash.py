@@ -18,6 +18,8 @@ BITS = 64
 SEED = 42
 #: Shingles whose bits are unpacked at a time.
 CHUNK = 65_536
+#: Fingerprints whose variants one task makes.
+TASK_FINGERPRINTS = 10_000
 
 
 def _signed(x: int) -> int:
@@ -152,6 +154,8 @@ def linked(fps: DataFrame, distance: int) -> DataFrame:
     near one, so the work grows with the fingerprints, not with pairs in a group.
     """
     fp = F.col("fp")
+    # A fingerprint is small beside its variants: deal them by rows, not by bytes.
+    fps = fps.repartition(fps.count() // TASK_FINGERPRINTS + 1, "fp")
     rows = fps.select(fp, F.explode(_variants(fp, kept_bit_masks(distance))).alias("key"))
     met = rows.repartition("key").sortWithinPartitions("key").mapInPandas(_meeting, "fp long")
     close = stage(met.distinct(), "simhash-close")
