@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,15 +30,19 @@ LEAST_BUCKETS = 16
 #: Texts and words that are cut up at a time, occurrences whose losses are, and hashes of
 #: words that are remembered.
 SLICE_TEXTS = 16_384
-SLICE_WORDS = 1_000_000
+SLICE_WORDS = 750_000
 STEP_WORDS = 250_000
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: The context of a text's first word: the hash of the empty word.
 START = np.uint64(xxhash.xxh64_intdigest(b""))
 
 _NEW = ("n_tokens", "target_loss", "background_loss", "score")
 _COUNTS = ("b", "t", "cb", "ct")
-_DEALT = "bucket int, kind int, n int, words binary, at binary, contexts binary, before binary, texts binary, keys binary, target binary, counts binary"
+_DEALT = (
+    "bucket int, kind int, slice long, words binary, at binary, contexts binary, before binary, texts binary, used binary, "
+    "target binary, keys binary, counts binary"
+)
+_SUMMED = "slice long, keys binary, used binary, sums binary"
 
 
 @dataclass(frozen=True)
@@ -207,25 +212,24 @@ def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in schema.split(", ")], dtype=object)
 
 
-#: Kinds of dealt rows: counts of words, occurrences, and sums that are final already.
-_TOTALS, _OCCURRENCES, _SUMS = 0, 1, 2
+#: Kinds of dealt rows: counts of words, occurrences, and a slice's texts with the sums
+#: that are final already.
+_TOTALS, _OCCURRENCES, _TEXTS = 0, 1, 2
 
 
 def _deal(model: Model):
     """Occurrences by bucket, several bytes each; frequent bigrams are settled here."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n_hot = len(model.hot_words)
+        n_hot, part = len(model.hot_words), TaskContext.get().partitionId()
         for k, s in enumerate(Cutter().slices(batches)):
             w, c = model.known(s.words), model.known(s.contexts)
             pair = np.where((w >= 0) & (c >= 0), _found(model.hot_pairs, _pairs(c, w, n_hot)), -1)
-            rows: list[tuple] = []
-            if (settled := pair >= 0).any():
-                losses = model.losses(model.hot_counts[w[settled]], model.pair_counts[pair[settled]], ~s.last[settled])
-                sums = _text_sums(losses, s.texts[settled], len(s.keys))
-                some = sums[:, 2] > 0
-                rows.append((k % model.buckets, _SUMS, int(some.sum()), *[None] * 5, s.keys[some].tobytes(), None, sums[some].tobytes()))
-            rest = np.flatnonzero(pair < 0)
+            number, settled = (part << 32) + k, pair >= 0
+            losses = model.losses(model.hot_counts[w[settled]], model.pair_counts[pair[settled]], ~s.last[settled])
+            sums = _text_sums(losses, s.texts[settled], len(s.keys))
+            rows: list[tuple] = [(number % model.buckets, _TEXTS, number, *[None] * 7, s.keys.tobytes(), sums.tobytes())]
+            rest = np.flatnonzero(~settled)
             buckets = model.bucket(s.words[rest], s.contexts[rest], w[rest] >= 0)
             # In the order of words, a word of a bucket is named once.
             order = np.lexsort((s.words[rest], buckets))
@@ -238,8 +242,8 @@ def _deal(model: Model):
                 used, texts = np.unique(s.texts[at], return_inverse=True)
                 marked = texts.astype(np.uint16) | (s.last[at].astype(np.uint16) << np.uint16(15))
                 rows.append((
-                    int(buckets[a]), _OCCURRENCES, b - a, *_runs(s.words[at]), *_packed(s.contexts[at]), marked.tobytes(),
-                    s.keys[used].tobytes(), s.target[used].tobytes(), None,
+                    int(buckets[a]), _OCCURRENCES, number, *_runs(s.words[at]), *_packed(s.contexts[at]), marked.tobytes(),
+                    used.astype(np.uint16).tobytes(), s.target[used].tobytes(), None, None,
                 ))
             yield _frame(rows, _DEALT)
 
@@ -263,14 +267,14 @@ def _deal_totals(model: Model):
             rows = []
             for bucket in np.unique(buckets):
                 mine = buckets == bucket
-                rows.append((int(bucket), _TOTALS, int(mine.sum()), words[mine].tobytes(), *[None] * 6, counts[mine].tobytes()))
+                rows.append((int(bucket), _TOTALS, None, words[mine].tobytes(), *[None] * 7, counts[mine].tobytes()))
             yield _frame(rows, _DEALT)
 
     return run
 
 
 def _score_buckets(model: Model):
-    """Sums of losses by text and bucket, from rows sorted by bucket and kind."""
+    """Sums of losses by slice and bucket, from rows sorted by bucket and kind."""
 
     def scored(words: list, counts: list, dealt: list) -> Iterator[pd.DataFrame]:
         if not dealt:
@@ -287,18 +291,17 @@ def _score_buckets(model: Model):
         which, n_pairs = which.astype(np.uint32), len(pairs)
         del before, contexts, pairs
         marked = [np.frombuffer(r.texts, np.uint16) for r in dealt]
-        keys = [np.frombuffer(r.keys, np.int64) for r in dealt]
-        first = np.cumsum([0, *map(len, keys)])
+        first = np.cumsum([0, *(len(r.target) for r in dealt)])
         texts = np.concatenate([(m & 0x7FFF).astype(np.uint32) + np.uint32(f) for m, f in zip(marked, first)])
         going = np.concatenate([m < 0x8000 for m in marked])
-        keys, target = np.concatenate(keys), np.concatenate([np.frombuffer(r.target, bool) for r in dealt])
+        target = np.concatenate([np.frombuffer(r.target, bool) for r in dealt])
         counted = np.column_stack([np.bincount(which, minlength=n_pairs), np.bincount(which, target[texts], n_pairs)])
-        sums = np.zeros((len(keys), 3))
+        sums = np.zeros((len(target), 3))
         for a in range(0, len(at), STEP_WORDS):
             part = slice(a, a + STEP_WORDS)
             losses = model.losses(known[at[part]], counted[which[part]], going[part])
-            sums += _text_sums(losses, texts[part], len(keys))
-        yield _summed(keys, sums)
+            sums += _text_sums(losses, texts[part], len(target))
+        yield _frame([(r.slice, None, r.used, sums[a:b].tobytes()) for r, a, b in zip(dealt, first, first[1:])], _SUMMED)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bucket, words, counts, dealt = None, [], [], []
@@ -313,14 +316,28 @@ def _score_buckets(model: Model):
                 elif r.kind == _OCCURRENCES:
                     dealt.append(r)
                 else:
-                    yield _summed(np.frombuffer(r.keys, np.int64), np.frombuffer(r.counts, float).reshape(-1, 3))
+                    yield _frame([(r.slice, r.keys, None, r.counts)], _SUMMED)
         yield from scored(words, counts, dealt)
 
     return run
 
 
-def _summed(keys: np.ndarray, sums: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({"key": keys, "background": sums[:, 0], "target": sums[:, 1], "n": sums[:, 2].astype(np.int64)})
+def _slice_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums by text, from rows sorted by slice, its texts first."""
+    keys, sums, number = np.zeros(0, np.int64), np.zeros((0, 3)), None
+
+    def done() -> pd.DataFrame:
+        return pd.DataFrame({"key": keys, "background": sums[:, 0], "target": sums[:, 1], "n": sums[:, 2].astype(np.int64)})
+
+    for batch in batches:
+        for r in batch.itertuples(index=False):
+            found = np.frombuffer(r.sums, float).reshape(-1, 3)
+            if r.slice != number:
+                yield done()
+                number, keys, sums = r.slice, np.frombuffer(r.keys, np.int64), found.copy()
+            else:
+                sums[np.frombuffer(r.used, np.uint16)] += found
+    yield done()
 
 
 def score_by_counts(df: DataFrame, target_col: str, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -334,8 +351,8 @@ def score_by_counts(df: DataFrame, target_col: str, text_col: str = "text", carr
     word in nats, the score is background less target.
 
     Words are told apart by 64-bit hashes. Each occurrence is dealt once, to the bucket
-    of its word, in some ten bytes; the bucket counts its bigrams and hands on one sum
-    per text. Bigrams of words too frequent for a bucket are spread by their context,
+    of its word, in some twelve bytes; the bucket counts its bigrams and hands on one
+    array of sums for each slice of texts. Bigrams of words too frequent for a bucket are spread by their context,
     and those bigrams that are too frequent themselves, at most four to a bucket, are
     counted before and settled where the text lies. So no bucket outgrows a task.
     Without a word (null, empty, blank texts) losses and score are null; equal texts have
@@ -351,8 +368,10 @@ def score_by_counts(df: DataFrame, target_col: str, text_col: str = "text", carr
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), model.buckets // 2)
     dealt = counts.mapInPandas(_deal_totals(model), _DEALT).unionByName(texts.mapInPandas(_deal(model), _DEALT))
     ordered = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
-    by_bucket = ordered.mapInPandas(_score_buckets(model), "key long, background double, target double, n long")
-    sums = by_bucket.groupBy("key").agg(*[F.sum(c).alias(f"_{c}") for c in ("background", "target", "n")])
+    by_bucket = ordered.mapInPandas(_score_buckets(model), _SUMMED)
+    by_slice = by_bucket.repartition("slice").sortWithinPartitions("slice", F.col("keys").isNull())
+    by_text = by_slice.mapInPandas(_slice_sums, "key long, background double, target double, n long")
+    sums = by_text.groupBy("key").agg(*[F.sum(c).alias(f"_{c}") for c in ("background", "target", "n")])
 
     carry = [c for c in (df.columns if carry is None else carry) if c.lower() not in _NEW]
     row, key = unused("_row", carry), unused("_text", carry)
