@@ -79,6 +79,8 @@ def signatures(word: str, dims: dict[tuple[str, int], int]) -> Iterator[int]:
     n = len(word)
     kinds = ((0, n, n // 2, 2, REPLACED_PARTS), (1, n, (n + 1) // 2, 1, SHIFTED_PARTS), (1, n - 1, n // 2, 1, SHIFTED_PARTS))
     for kind, length, half, distance, parts in kinds:
+        if length < 0:  # nothing is shorter than the empty word
+            continue
         sums = _part_sums(word, parts, dims)
         for kept in enumerated(distance, 1, parts):
             head = bytes(kept) + struct.pack(f"<{len(kept) + 1}Q", 2 * length + kind, *(sums[j] for j in kept))
